@@ -37,19 +37,30 @@ def with_field(dict_terms: DataFrame, dictionaries: DataFrame) -> DataFrame:
     return dict_terms.join(settings, "dict_id")
 
 
+def compile_queries(
+    queries: DataFrame, keys: Sequence[str] = ("dict_id", "term"), broadcast_bytes: int | None = None
+) -> phrase.Phrases:
+    """Compile the terms and the classification entries of ``queries`` together.
+
+    ``queries`` holds ``keys``, ``classification`` and ``field``, one row per
+    ``keys``, ``term`` among them.
+    """
+    spelled = F.array_distinct(F.concat(F.array("term"), "classification"))
+    entries = queries.select(*keys, "classification", "field", F.explode(spelled).alias("entry"))
+    return phrase.compile_terms(entries, "entry", broadcast_bytes=broadcast_bytes)
+
+
 def match_queries(
     docs: DataFrame,
-    queries: DataFrame,
+    phrases: phrase.Phrases,
     keys: Sequence[str] = ("dict_id", "term"),
     analyzed: DataFrame | None = None,
-    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """(docid, keys, classification, hits, hierarchy_present) for every match.
 
-    ``queries`` holds ``keys``, ``classification`` and ``field``, one row per
-    ``keys``, ``term`` among them. The flag is null without a classification,
-    true when the document also holds another entry of it (or when there is no
-    entry but the term itself), else false.
+    The flag is null without a classification, true when the document also holds
+    another entry of it (or when there is no entry but the term itself), else
+    false.
 
     Terms and classification entries are counted in the same pass. The counts are
     then looked up once more, by document and gram, for the entries of matched
@@ -57,11 +68,8 @@ def match_queries(
     does not occur.
     """
     keys = list(keys)
-    spelled = F.array_distinct(F.concat(F.array("term"), "classification"))
-    entries = queries.select(*keys, "classification", "field", F.explode(spelled).alias("entry"))
-    phrases = phrase.compile_terms(entries, "entry", broadcast_bytes=broadcast_bytes)
     if analyzed is None:
-        analyzed = phrase.analyze_documents(docs, phrases.fields, reused=True)
+        analyzed = phrase.analyze_documents(docs, phrases.fields or [T.ENGLISH], reused=True)
     counts = phrase.count_phrases(analyzed, phrases)
 
     is_term = F.col("entry") == F.col("term")
@@ -101,8 +109,8 @@ def match_terms_to_docs(
     if from_date is not None:
         docs = docs.where(since(from_date))
     one_each = dict_terms.groupBy("dict_id", "term").agg(F.max("classification").alias("classification"))
-    queries = with_field(one_each, dictionaries)
-    rows = match_queries(docs, queries, analyzed=analyzed, broadcast_bytes=broadcast_bytes)
+    phrases = compile_queries(with_field(one_each, dictionaries), broadcast_bytes=broadcast_bytes)
+    rows = match_queries(docs, phrases, analyzed=analyzed)
     return rows.select(
         "term", "docid", "hits", stamp(as_of).alias("last_updated"), "hierarchy_present",
         "dict_id", F.lit(False).alias("from_percolation"),
