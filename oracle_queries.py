@@ -257,13 +257,8 @@ def subset(nlp_type: str, docs: str) -> str:
     return f"SELECT docid, sentid FROM ({sentences(nlp_type)}) WHERE docid IN ({docs})"
 
 
-def removed(whole: str, dict_id: int) -> str:
-    return whole.format(id=dict_id)
-
-
 WORD = r"[^\p{L}\p{N}_]"
-_ESCAPED = r"regexp_escape(term)"
-SENTENCE_TEST = rf"regexp_matches(line, '(^|{WORD})(?i:' || regexp_escape(term) || ')($|{WORD})')"
+SENTENCE_TEST = rf"contains(lower(line), lower(term)) AND regexp_matches(line, '(^|{WORD})(?i:' || regexp_escape(term) || ')($|{WORD})')"
 
 _LIVE = """live AS (SELECT dict_id, term, count(DISTINCT docid) AS n_live FROM found GROUP BY ALL),
     stored AS (SELECT term, count(DISTINCT docid) AS n_stored FROM s_found GROUP BY ALL),

@@ -47,6 +47,12 @@ def spread(df: DataFrame, *keys: str | Column) -> DataFrame:
     return df.repartition(2 * cores, *keys)
 
 
+def spread_batch(batch: DataFrame, *keys: str | Column) -> DataFrame:
+    """Spread a micro-batch, whose size no plan knows, when it leaves cores idle."""
+    cores = batch.sparkSession.sparkContext.defaultParallelism
+    return batch if batch.rdd.getNumPartitions() >= cores else batch.repartition(2 * cores, *keys)
+
+
 def salted_join(
     big: DataFrame, small: DataFrame, keys: Sequence[str], salt_from: Sequence[str], how: str = "inner"
 ) -> DataFrame:

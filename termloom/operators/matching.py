@@ -70,26 +70,36 @@ def match_queries(
     keys = list(keys)
     if analyzed is None:
         analyzed = phrase.analyze_documents(docs, phrases.fields or [T.ENGLISH], reused=True)
-    counts = phrase.count_phrases(analyzed, phrases)
+    # The test is always true. It keeps the count in all three readers of the
+    # counts, so that their shuffles are the same and the text is read once.
+    counts = phrase.count_phrases(analyzed, phrases).where(F.col("hits") > 0)
 
     is_term = F.col("entry") == F.col("term")
     lone = F.forall("classification", lambda entry: entry == F.col("term"))
     other_grams = phrases.rows.where(~is_term).groupBy(*keys).agg(F.collect_set("gram").alias("others"))
-    terms = phrases.rows.where(is_term).select(*keys, "classification", "field", "gram", lone.alias("lone"))
-    matched = phrase.attach_terms(counts, terms.join(other_grams, keys, "left"), phrases)
-    looked_up = matched.select(
-        "docid", *keys, "classification", "lone", "field", "hits",
-        F.explode_outer("others").alias("gram"),
-    ).join(
-        counts.where(F.col("hits") > 0).select("docid", "field", "gram", F.col("hits").alias("other_hits")),
-        ["docid", "field", "gram"],
-        "left",
+    terms = (
+        phrases.rows.where(is_term)
+        .select(*keys, "classification", "field", "gram", lone.alias("lone"))
+        .join(other_grams, keys, "left")
     )
-    found = looked_up.groupBy("docid", *keys, "classification", "lone").agg(
+
+    def matched(rows: DataFrame) -> DataFrame:
+        return phrase.attach_terms(counts, rows, phrases)
+
+    def result(rows: DataFrame, present: Column) -> DataFrame:
+        flag = F.when(F.size("classification") > 0, present)
+        return rows.select("docid", *keys, "classification", "hits", flag.alias("hierarchy_present"))
+
+    decided = matched(terms.where(F.col("others").isNull()).drop("others"))
+    open_ = matched(terms.where(F.col("others").isNotNull()).drop("lone"))
+    present = counts.select("docid", "field", "gram", F.col("hits").alias("other_hits"))
+    looked_up = open_.select(
+        "docid", *keys, "classification", "field", "hits", F.explode("others").alias("gram")
+    ).join(present, ["docid", "field", "gram"], "left")
+    found = looked_up.groupBy("docid", *keys, "classification").agg(
         F.max("hits").alias("hits"), F.count("other_hits").alias("n_others")
     )
-    flag = F.when(F.size("classification") > 0, F.col("lone") | (F.col("n_others") > 0))
-    return found.select("docid", *keys, "classification", "hits", flag.alias("hierarchy_present"))
+    return result(decided, F.col("lone")).unionByName(result(found, F.col("n_others") > 0))
 
 
 def match_terms_to_docs(

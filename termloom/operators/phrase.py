@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from termloom.functions import text as T
@@ -100,15 +100,25 @@ def compile_phrases(phrases: DataFrame, tokens: Column, broadcast_bytes: int | N
         )
         .select(*kept, "lead", "offsets", "span", "shape", F.concat_ws(_SEP, "shape", "_words").alias("gram"))
     )
-    rows = settle(rows)
-    found = rows.agg(
-        F.count("*").alias("rows"),
-        F.sum(F.octet_length("gram") + F.octet_length("lead") + 64).alias("bytes"),
-        F.max("span").alias("longest"),
-        F.collect_set("field").alias("fields"),
-    ).first()
-    small = fits_broadcast(found["rows"], found["bytes"] or 0, broadcast_bytes)
-    return Phrases(rows, sorted(found["fields"]), found["longest"] or 1, small)
+    # Counted while the rows are written: whatever a join may broadcast is part
+    # of a row, so the rows' own size bounds it.
+    seen = Observation()
+    rows = settle(
+        rows.observe(
+            seen,
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(F.octet_length(F.to_json(F.struct("*"))) + 64).alias("bytes"),
+            F.max("span").alias("longest"),
+            *[F.count_if(F.col("field") == name).alias(name) for name in T.FIELDS],
+        )
+    )
+    found = seen.get
+    return Phrases(
+        rows,
+        fields=[name for name in T.FIELDS if found[name]],
+        longest=found["longest"] or 1,
+        small=fits_broadcast(found["rows"], found["bytes"] or 0, broadcast_bytes),
+    )
 
 
 def compile_terms(

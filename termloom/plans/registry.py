@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from termloom.functions import text as T
 from termloom.operators import catalog, matching, phrase, quality, subsets, terms, upsert
+from termloom.operators.bounds import spread
 from termloom.operators.sentences import match_sentences
 from termloom.operators.terms import Tables
 from termloom.plans import derived
@@ -93,7 +94,7 @@ def tokenize_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def analyze_field(field: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         """All tokens of all documents; a hole is shown as an underscore."""
-        docs = derived.articles(spark, sf_dir)
+        docs = spread(derived.articles(spark, sf_dir).select("docid", "contents"), "docid")
         toks = F.array_join(T.analyze(field, "contents"), " ", "_")
         return docs.select("docid", toks.alias("toks"))
 
