@@ -19,11 +19,12 @@ def dict_by_name_ci(dictionaries: DataFrame, name: str) -> DataFrame:
     return dictionaries.where(F.col("name").ilike(name)).orderBy("dict_id").limit(1)
 
 
-def resolve_dict_id(dictionaries: DataFrame, name: str) -> int:
+def resolve(dictionaries: DataFrame, name: str) -> tuple[int, str]:
+    """Id and name, as the catalog spells it, of the dictionary like ``name``."""
     found = dict_by_name_ci(dictionaries.select("dict_id", "name"), name).first()
     if found is None:
         raise ValueError(f"no such dictionary: {name!r}")
-    return found["dict_id"]
+    return found["dict_id"], found["name"]
 
 
 def get_dictionary_metadata(dictionaries: DataFrame, name: str) -> DataFrame:

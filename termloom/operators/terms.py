@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions import strings as S
-from termloom.operators.catalog import resolve_dict_id
+from termloom.operators.catalog import resolve
 from termloom.operators.matching import stamp, with_field
 from termloom.operators.upsert import delete_rows, touch
 from termloom.schemas import NLP_TYPES
@@ -82,7 +82,8 @@ def unregister_queries(stored_queries: DataFrame, doomed: DataFrame) -> DataFram
 
 
 def unregister_dictionary(stored_queries: DataFrame, dictionaries: DataFrame, name: str) -> DataFrame:
-    return stored_queries.where(F.col("dict_id") != resolve_dict_id(dictionaries, name))
+    dict_id, _ = resolve(dictionaries, name)
+    return stored_queries.where(F.col("dict_id") != dict_id)
 
 
 def missing_queries(stored_queries: DataFrame, dict_terms: DataFrame) -> DataFrame:
@@ -166,7 +167,7 @@ def update(tables: Tables, dict_id: int, terms: DataFrame, as_of: dt.datetime |
 
 def remove_dictionary(tables: Tables, name: str) -> Tables:
     """Delete a dictionary, its terms, matches, stored queries and subset entries."""
-    dict_id = resolve_dict_id(tables.dictionaries, name)
+    dict_id, name = resolve(tables.dictionaries, name)
     doomed = tables.dict_terms.where(F.col("dict_id") == dict_id)
     rest = delete_terms(tables, doomed, whole_terms=True)
     meta = tables.subset_meta

@@ -36,8 +36,7 @@ def last_write_wins(updates: DataFrame, keys: Sequence[str], order: Sequence[str
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Rows of ``target`` whose key is not updated, and the last update per key."""
     updates = last_write_wins(updates, keys, order)
-    kept = target.join(updates.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(updates.select(*target.columns))
+    return delete_rows(target, updates, keys).unionByName(updates.select(*target.columns))
 
 
 def upsert_terms_docs(terms_docs: DataFrame, updates: DataFrame, order: Sequence[str] = ("last_updated",)) -> DataFrame:
@@ -50,7 +49,8 @@ def upsert_documents(docs: DataFrame, arrivals: DataFrame, order: Sequence[str]
 
 
 def delete_rows(table: DataFrame, doomed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return table.join(doomed.select(*keys), list(keys), "left_anti")
+    """Rows of ``table`` whose key is not among ``doomed``."""
+    return table.join(doomed.select(*keys), list(keys), "left_anti").select(*table.columns)
 
 
 def touch(dictionaries: DataFrame, chosen: Column, column: str, as_of: dt.datetime | None = None) -> DataFrame:
