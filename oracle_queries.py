@@ -278,6 +278,9 @@ ORACLES = {
     "match_by_dictionary": f"{FOUND} SELECT dict_id, term, docid, hits FROM found",
     "match_hierarchy": f"{FOUND} SELECT dict_id, term, docid, hits, hierarchy_present FROM found",
     "match_since": f"{FOUND_SINCE} SELECT dict_id, term, docid, hits FROM found",
+    "catch_up": f"""{FOUND} SELECT dict_id, term, docid, hits, hierarchy_present FROM found
+        JOIN documents ON doc_id = docid
+        WHERE {_TIME} >= make_timestamp(2020, 2 * dict_id, 15, 0, 0, 0)""",
     "match_spoken_terms": f"WITH {match_ctes(SPOKEN_TERMS, DOCS, FIELDS)} "
         "SELECT dict_id, term, docid, hits, hierarchy_present FROM found",
     "highlight_snippets": f"""WITH {match_ctes(

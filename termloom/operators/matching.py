@@ -45,6 +45,8 @@ def compile_queries(
     ``queries`` holds ``keys``, ``classification`` and ``field``, one row per
     ``keys``, ``term`` among them.
     """
+    given = F.coalesce("classification", F.array().cast("array<string>"))
+    queries = queries.withColumn("classification", given)
     spelled = F.array_distinct(F.concat(F.array("term"), "classification"))
     entries = queries.select(*keys, "classification", "field", F.explode(spelled).alias("entry"))
     return phrase.compile_terms(entries, "entry", broadcast_bytes=broadcast_bytes)
@@ -127,5 +129,33 @@ def match_terms_to_docs(
     )
 
 
+def catch_up(
+    dict_terms: DataFrame,
+    dictionaries: DataFrame,
+    docs: DataFrame,
+    as_of: dt.datetime | None = None,
+    broadcast_bytes: int | None = None,
+) -> DataFrame:
+    """``terms_docs`` rows from the documents since each term's own ``last_updated``.
+
+    A term without a date has never been matched and takes all documents.
+    """
+    known = dict_terms.groupBy("dict_id", "term").agg(
+        F.when(F.count("last_updated") == F.count("*"), F.min("last_updated")).alias("_since")
+    )
+    oldest = known.agg(
+        F.bool_and(F.col("_since").isNotNull()).alias("dated"), F.min("_since").alias("since")
+    ).first()
+    from_date = oldest["since"] if oldest["dated"] else None
+    rows = match_terms_to_docs(
+        dict_terms, dictionaries, docs, as_of, from_date, broadcast_bytes=broadcast_bytes
+    )
+    times = docs.select("docid", "time")
+    if from_date is not None:
+        times = times.where(since(from_date))
+    recent = F.col("_since").isNull() | (F.col("time") >= F.date_trunc("day", "_since"))
+    return rows.join(known, ["dict_id", "term"]).join(times, "docid").where(recent).select(*rows.columns)
+
+
 def stamp(as_of: dt.datetime | None) -> Column:
     return F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")

@@ -65,6 +65,16 @@ def match_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fixture_matches(spark, sf_dir, SINCE).select("dict_id", "term", "docid", "hits")
 
 
+def catch_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dictionary was last matched on a day of its own."""
+    month = F.make_timestamp(F.lit(2020), F.col("dict_id") * 2, F.lit(15), F.lit(7), F.lit(0), F.lit(0))
+    own = derived.fixture_terms(spark).withColumn("last_updated", month)
+    rows = matching.catch_up(
+        own, derived.fixture_dictionaries(spark), derived.articles(spark, sf_dir), AS_OF
+    )
+    return rows.select("dict_id", "term", "docid", "hits", "hierarchy_present")
+
+
 def _spoken_matches(spark: SparkSession, sf_dir: str, from_date: dt.datetime | None = None) -> DataFrame:
     return matching.match_terms_to_docs(
         derived.spoken_dict_terms(spark, sf_dir), derived.catalog(spark, sf_dir),
@@ -445,6 +455,7 @@ QUERIES = {
     "match_by_dictionary": match_by_dictionary,
     "match_hierarchy": match_hierarchy,
     "match_since": match_since,
+    "catch_up": catch_up,
     "match_spoken_terms": match_spoken_terms,
     "highlight_snippets": highlight_snippets,
     "tokenize_counts": tokenize_counts,

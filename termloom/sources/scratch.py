@@ -8,23 +8,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
     Only a local session, whose executors share the driver's disk, may go without
     the setting; it gets a folder of its own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
-    if not folder:
-        folder = context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="run-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(folder)
-    return folder
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder:
+        return folder
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _local:
+        _local[context.applicationId] = tempfile.mkdtemp(prefix="run-")
+    return _local[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
