@@ -7,24 +7,27 @@ first: most words match no suffix, and only the few that do pay for a regular
 expression.
 
 A step mentions its input many times, so the steps must not be folded into one
-expression: ``stem_sql`` chains one ``transform`` over the array per step. It is
-written as SQL text because one parsed string is built far faster than some
-thousand column calls.
+expression: ``stem_sql`` chains one ``transform`` over the array per step, and
+within a step ``_let`` binds what only few words need. All is written as SQL text
+because one parsed string is built far faster than some thousand column calls.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # A word is [C](VC)^m[V]. A leading "y" is marked so that it counts as a
 # consonant; a "y" after a vowel is a consonant by construction.
-_C = "[^aeiou][^aeiouy]*"
-_V = "[aeiouy][aeiou]*"
-_M_POSITIVE = f"^(?:{_C})?{_V}{_C}"
-_M_ONE = f"^(?:{_C})?{_V}{_C}(?:{_V})?$"
-_M_ABOVE_ONE = f"^(?:{_C})?{_V}{_C}{_V}{_C}"
-_HAS_VOWEL = f"^(?:{_C})?[aeiouy]"
+# Neighbouring runs share no letter, so nothing needs to be tried twice.
+_C = "[^aeiou][^aeiouy]*+"
+_V = "[aeiouy][aeiou]*+"
+_M_POSITIVE = f"^(?:{_C})?+{_V}[^aeiou]"
+_M_ONE = f"^(?:{_C})?+{_V}{_C}(?:{_V})?+$"
+_M_ABOVE_ONE = f"^(?:{_C})?+{_V}{_C}{_V}[^aeiou]"
+_HAS_VOWEL = f"^(?:{_C})?+[aeiouy]"
 _CVC = f"^{_C}[aeiouy][^aeiouwxy]$"
 _DOUBLE = r"([^aeiouylsz])\1$"
 
@@ -47,31 +50,34 @@ STEP_4 = [
     "ent", "ion", "ou", "ism", "ate", "iti", "ous", "ive", "ize",
 ]
 
-# Markers that no word contains: a leading "y" (a consonant), a word too short to
-# be stemmed, and a word that has just lost "ed" or "ing".
+# Markers that no word contains: a leading "y" (a consonant) and a word too short
+# to be stemmed.
 _Y = "\u0002"
 _SHORT = "\u0003"
-_CUT = "\u0001"
 
-# Every step is SQL over the lambda variable w, or over rest, w without its
-# marker.
-_TAIL = "substring(w, 2)"
+
+# Every function below takes a word as SQL and gives SQL.
 
 
-def _ends(suffix: str, word: str = "w") -> str:
-    return f"endswith({word}, '{suffix}')"
+def _ends(word: str, *suffixes: str) -> str:
+    return "(" + " OR ".join(f"endswith({word}, '{suffix}')" for suffix in suffixes) + ")"
 
 
-def _without(suffix: str) -> str:
-    return f"left(w, length(w) - {len(suffix)})"
+def _without(word: str, suffix: str) -> str:
+    return f"left({word}, length({word}) - {len(suffix)})"
 
 
 def _like(word: str, pattern: str) -> str:
     return f"{word} RLIKE r'{pattern}'"
 
 
-def _by_suffix(endings: dict[str, str]) -> str:
-    """The value of the longest suffix that w ends with, else w.
+def _let(value: str, step: Callable[[str], str]) -> str:
+    """``step`` of a computed value, which is computed once."""
+    return f"get(transform(array({value}), r -> {step('r')}), 0)"
+
+
+def _by_suffix(word: str, endings: dict[str, str]) -> str:
+    """The value of the longest suffix that ``word`` ends with, else ``word``.
 
     Suffixes are grouped by their last letter, so that a word which cannot match
     is dismissed after a handful of comparisons.
@@ -79,75 +85,118 @@ def _by_suffix(endings: dict[str, str]) -> str:
     groups = []
     for letter in sorted({suffix[-1] for suffix in endings}):
         cases = " ".join(
-            f"WHEN {_ends(suffix)} THEN {endings[suffix]}"
+            f"WHEN {_ends(word, suffix)} THEN {endings[suffix]}"
             for suffix in sorted(endings, key=len, reverse=True)
             if suffix.endswith(letter)
         )
-        groups.append(f"WHEN {_ends(letter)} THEN CASE {cases} ELSE w END")
-    return f"CASE {' '.join(groups)} ELSE w END"
+        groups.append(f"WHEN {_ends(word, letter)} THEN CASE {cases} ELSE {word} END")
+    return f"CASE {' '.join(groups)} ELSE {word} END"
 
 
-def _replace_suffixes(pairs: list[tuple[str, str]]) -> str:
-    return _by_suffix({
-        suffix: f"if({_like(_without(suffix), _M_POSITIVE)}, concat({_without(suffix)}, '{ending}'), w)"
+def _replace_suffixes(word: str, pairs: list[tuple[str, str]]) -> str:
+    return _by_suffix(word, {
+        suffix: f"if({_like(_without(word, suffix), _M_POSITIVE)}, "
+                f"concat({_without(word, suffix)}, '{ending}'), {word})"
         for suffix, ending in pairs
     })
 
 
-def _drop_suffixes(suffixes: list[str]) -> str:
+def _drop_suffixes(word: str, suffixes: list[str]) -> str:
     endings = {}
     for suffix in suffixes:
-        rest = _without(suffix)
+        rest = _without(word, suffix)
         test = _like(rest, _M_ABOVE_ONE)
         if suffix == "ion":
-            test = f"({_ends('s', rest)} OR {_ends('t', rest)}) AND {test}"
-        endings[suffix] = f"if({test}, {rest}, w)"
-    return _by_suffix(endings)
+            test = f"{_ends(rest, 's', 't')} AND {test}"
+        endings[suffix] = f"if({test}, {rest}, {word})"
+    return _by_suffix(word, endings)
+
+
+def mark(word: str) -> str:
+    return (
+        f"CASE WHEN length({word}) <= 2 THEN concat({word}, '{_SHORT}') "
+        f"WHEN startswith({word}, 'y') THEN concat('{_Y}', substring({word}, 2)) ELSE {word} END"
+    )
+
+
+def _unmark(word: str) -> str:
+    return (
+        f"CASE WHEN {_ends(word, _SHORT)} THEN {_without(word, _SHORT)} "
+        f"WHEN startswith({word}, '{_Y}') THEN concat('y', substring({word}, 2)) ELSE {word} END"
+    )
+
 
+def _repair(word: str) -> str:
+    """What becomes of a word that has just lost "ed" or "ing"."""
+    return (
+        f"CASE WHEN {_ends(word, 'at', 'bl', 'iz')} THEN concat({word}, 'e') "
+        f"WHEN {_like(word, _DOUBLE)} THEN left({word}, length({word}) - 1) "
+        f"WHEN {_like(word, _CVC)} THEN concat({word}, 'e') ELSE {word} END"
+    )
 
-def _cut_past(suffix: str) -> str:
-    rest = _without(suffix)
-    return f"if({_like(rest, _HAS_VOWEL)}, concat('{_CUT}', {rest}), w)"
 
+def _past(word: str) -> str:
+    def cut(suffix: str) -> str:
+        rest = _without(word, suffix)
+        return f"if({_like(rest, _HAS_VOWEL)}, {_let(rest, _repair)}, {word})"
 
-_MARK = f"""CASE WHEN length(w) <= 2 THEN concat(w, '{_SHORT}')
-    WHEN startswith(w, 'y') THEN concat('{_Y}', {_TAIL}) ELSE w END"""
+    agreed = f"if({_like(_without(word, 'eed'), _M_POSITIVE)}, {_without(word, 'd')}, {word})"
+    return (
+        f"CASE WHEN {_ends(word, 'd')} THEN "
+        f"CASE WHEN {_ends(word, 'eed')} THEN {agreed} WHEN {_ends(word, 'ed')} THEN {cut('ed')} ELSE {word} END "
+        f"WHEN {_ends(word, 'ing')} THEN {cut('ing')} ELSE {word} END"
+    )
 
-_PLURAL = f"""CASE WHEN NOT {_ends('s')} OR {_ends('ss')} THEN w
-    WHEN {_ends('sses')} OR {_ends('ies')} THEN {_without('es')}
-    ELSE {_without('s')} END"""
 
-_PAST = f"""CASE WHEN {_ends('eed')} THEN if({_like(_without('eed'), _M_POSITIVE)}, {_without('d')}, w)
-    WHEN {_ends('ed')} THEN {_cut_past('ed')}
-    WHEN {_ends('ing')} THEN {_cut_past('ing')} ELSE w END"""
+def _step_1(word: str) -> str:
+    singular = (
+        f"CASE WHEN {_ends(word, 'ss')} THEN {word} "
+        f"WHEN {_ends(word, 'sses', 'ies')} THEN {_without(word, 'es')} ELSE {_without(word, 's')} END"
+    )
+    return f"if({_ends(word, 's')}, {_let(singular, _past)}, {_past(word)})"
 
-_REPAIR = f"""CASE WHEN NOT startswith(w, '{_CUT}') THEN w
-    WHEN {_ends('at')} OR {_ends('bl')} OR {_ends('iz')} THEN concat({_TAIL}, 'e')
-    WHEN {_like('w', _DOUBLE)} THEN left({_TAIL}, length(w) - 2)
-    WHEN {_like(_TAIL, _CVC)} THEN concat({_TAIL}, 'e') ELSE {_TAIL} END"""
 
-_FINAL_Y = f"if({_ends('y')} AND {_like(_without('y'), _HAS_VOWEL)}, concat({_without('y')}, 'i'), w)"
+def _step_2(word: str) -> str:
+    rest = _without(word, "y")
+    with_i = f"if({_like(rest, _HAS_VOWEL)}, concat({rest}, 'i'), {word})"
 
-_FINAL_E = f"""if({_ends('e')} AND ({_like(_without('e'), _M_ABOVE_ONE)}
-    OR ({_like(_without('e'), _M_ONE)} AND NOT {_like(_without('e'), _CVC)})), {_without('e')}, w)"""
+    def step(stem_: str) -> str:
+        return _replace_suffixes(stem_, STEP_2)
 
-_FINAL_L = f"if({_ends('ll')} AND {_like('w', _M_ABOVE_ONE)}, {_without('l')}, w)"
+    return f"if({_ends(word, 'y')}, {_let(with_i, step)}, {step(word)})"
 
-_UNMARK = f"""CASE WHEN endswith(w, '{_SHORT}') THEN {_without(_SHORT)}
-    WHEN startswith(w, '{_Y}') THEN concat('y', {_TAIL}) ELSE w END"""
 
-# Steps in order; the first and the last only set and remove the markers.
-STEPS = [
-    _MARK, _PLURAL, _PAST, _REPAIR, _FINAL_Y, _replace_suffixes(STEP_2),
-    _replace_suffixes(STEP_3), _drop_suffixes(STEP_4), _FINAL_E, _FINAL_L, _UNMARK,
+def _step_5(word: str) -> str:
+    rest = _without(word, "e")
+    without_e = (
+        f"if({_like(rest, _M_ABOVE_ONE)} OR ({_like(rest, _M_ONE)} AND NOT {_like(rest, _CVC)}), {rest}, {word})"
+    )
+
+    def double_l(stem_: str) -> str:
+        return f"if({_ends(stem_, 'll')} AND {_like(stem_, _M_ABOVE_ONE)}, {_without(stem_, 'l')}, {stem_})"
+
+    return _let(f"if({_ends(word, 'e')}, {_let(without_e, double_l)}, {double_l(word)})", _unmark)
+
+
+_STEPS = [
+    _step_1,
+    _step_2,
+    lambda word: _replace_suffixes(word, STEP_3),
+    lambda word: _drop_suffixes(word, STEP_4),
+    _step_5,
 ]
 
 
+def stem_marked_sql(tokens: str) -> str:
+    """SQL that stems every word of an array of marked words; nulls stay null."""
+    for step in _STEPS:
+        tokens = f"transform({tokens}, w -> {step('w')})"
+    return tokens
+
+
 def stem_sql(tokens: str) -> str:
     """SQL that stems every word of the array ``tokens``; nulls stay null."""
-    for step in STEPS:
-        tokens = f"transform({tokens}, w -> {step})"
-    return tokens
+    return stem_marked_sql(f"transform({tokens}, w -> {mark('w')})")
 
 
 def stem(word: str) -> Column:

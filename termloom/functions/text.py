@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from termloom.functions.stemmer import stem_sql
+from termloom.functions.stemmer import mark, stem_marked_sql
 
 # The 33-word default English stop list.
 STOP_WORDS = (
@@ -74,10 +74,7 @@ def lower_tokens_sql(tokens: str) -> str:
 
 def strip_possessive_sql(token: str) -> str:
     """``token`` without a trailing 's."""
-    return (
-        f"if(endswith({token}, 's') OR endswith({token}, 'S'), "
-        f"regexp_replace({token}, {_quote(_POSSESSIVE)}, ''), {token})"
-    )
+    return f"regexp_replace({token}, {_quote(_POSSESSIVE)}, '')"
 
 
 def mask_stop_word_sql(token: str, stop_words: Sequence[str] = STOP_WORDS) -> str:
@@ -94,8 +91,19 @@ def analyze_sql(field: str, words: str, stop_words: Sequence[str] = STOP_WORDS)
     """
     if field not in _STEMMED:
         return f"transform({words}, t -> {mask_stop_word_sql('t', stop_words)})"
-    bare = f"transform({words}, t -> {strip_possessive_sql('t')})"
-    return stem_sql(f"transform({bare}, t -> {mask_stop_word_sql('t', stop_words)})")
+
+    # Few tokens end in s, so the possessive and what follows from it are kept
+    # away from the rest.
+    stripped = f"get(transform(array({strip_possessive_sql('t')}), p -> {_prepare('p', stop_words)}), 0)"
+    ready = f"transform({words}, t -> if(endswith(t, 's') OR endswith(t, 'S'), {stripped}, {_prepare('t', stop_words)}))"
+    return stem_marked_sql(ready)
+
+
+def _prepare(token: str, stop_words: Sequence[str]) -> str:
+    """Null for a stop word, else the token marked for the stemmer."""
+    if not stop_words:
+        return mark(token)
+    return f"if({token} IN ({', '.join(map(_quote, stop_words))}), NULL, {mark(token)})"
 
 
 def _words_sql(field: str, text: str) -> str:
