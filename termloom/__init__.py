@@ -1 +1 @@
-
+"""Dictionary matching on Spark."""

@@ -1 +1 @@
-
+"""Tables in, tables out."""

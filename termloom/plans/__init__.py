@@ -1 +1 @@
-
+"""Whole tasks and queries."""

@@ -386,7 +386,7 @@ def percolate_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = derived.read(spark, sf_dir, "documents").schema
     arriving = (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000)
-        .option("pathGlobFilter", "documents*.parquet").parquet(sf_dir)
+        .parquet(f"{sf_dir}/documents*.parquet")
         .select(F.col("doc_id").alias("docid"), F.col("text").alias("contents"))
     )
     log = scratch_path(spark, "percolated")

@@ -1 +1 @@
-
+"""Arriving documents."""
