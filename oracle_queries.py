@@ -358,7 +358,9 @@ ORACLES = {
         UNION ALL SELECT 'terms_docs_sentences', NULL, term || '@' || docid || '@' || sentid FROM l
             WHERE term NOT IN (SELECT term FROM own) OR term IN (SELECT term FROM p WHERE dict_id <> 4)
         UNION ALL SELECT 'stored_queries', * FROM (SELECT DISTINCT dict_id, {_ID} FROM p WHERE dict_id <> 4)
-        UNION ALL SELECT 'subset_meta', s_suppkey::INTEGER, s_name || '_nlp' FROM supplier""",
+        UNION ALL SELECT 'subset_meta', s_suppkey::INTEGER, s_name || '_nlp' FROM supplier
+            WHERE NOT (s_suppkey = 4 AND s_name || '_nlp' IN (SELECT name || v FROM c,
+                (VALUES ('_nlp'), ('_nlp352'), ('_nlp360')) AS versions(v) WHERE dict_id = 4))""",
     "touch_dictionaries": f"""SELECT dict_id, last_updated,
         CASE WHEN base_classification = 'NATION_3' THEN {_STAMP} END AS last_matched FROM ({CATALOG})""",
     "match_sentences": f"""{FOUND} SELECT DISTINCT term, docid, sentid, line AS snippets FROM ({sentences('nlp')}) s
