@@ -12,9 +12,16 @@ from termloom.functions import text as T
 from termloom.operators import phrase
 
 
+def instant(value: dt.datetime | dt.date) -> Column:
+    """A literal timestamp; without a zone of its own it is in the session's."""
+    if getattr(value, "tzinfo", None) is not None:
+        return F.lit(value).cast("timestamp")
+    return F.lit(value.isoformat()).cast("timestamp")
+
+
 def since(from_date: dt.datetime | dt.date, time: str = "time") -> Column:
     """On or after the day of ``from_date``; its time of day is dropped."""
-    return F.col(time) >= F.date_trunc("day", F.lit(from_date).cast("timestamp"))
+    return F.col(time) >= F.date_trunc("day", instant(from_date))
 
 
 def match_terms(
@@ -144,7 +151,7 @@ def catch_up(
         F.when(F.count("last_updated") == F.count("*"), F.min("last_updated")).alias("_since")
     )
     oldest = known.agg(
-        F.bool_and(F.col("_since").isNotNull()).alias("dated"), F.min("_since").alias("since")
+        F.bool_and(F.col("_since").isNotNull()).alias("dated"), F.to_date(F.min("_since")).alias("since")
     ).first()
     from_date = oldest["since"] if oldest["dated"] else None
     rows = match_terms_to_docs(
@@ -158,4 +165,4 @@ def catch_up(
 
 
 def stamp(as_of: dt.datetime | None) -> Column:
-    return F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+    return F.current_timestamp() if as_of is None else instant(as_of)

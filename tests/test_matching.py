@@ -7,7 +7,7 @@ import pytest
 
 from conftest import rows
 from termloom import schemas
-from termloom.operators.matching import match_terms_to_docs
+from termloom.operators.matching import catch_up, instant, match_terms_to_docs
 from termloom.plans import derived
 
 AS_OF = dt.datetime(2024, 1, 1)
@@ -123,3 +123,24 @@ def test_date_filter_is_pushed_to_the_scan(spark, tmp_path):
         from_date=dt.datetime(2020, 1, 2),
     )
     assert re.search(r"PushedFilters: \[[^]]*GreaterThanOrEqual\(time", final_plan(df))
+
+
+def test_catch_up_takes_each_term_from_its_own_day(spark):
+    entries = [(1, "x", [], dt.datetime(2020, 1, 2, 23)), (1, "y", [], dt.datetime(2020, 1, 3, 1)), (1, "z", [], None)]
+    own = spark.createDataFrame(entries, schemas.DICT_TERMS)
+    days = docs(spark, ["x y z"] * 3, [1, 2, 3])
+    got = catch_up(own, dictionaries(spark), days, AS_OF)
+    assert rows(got.select("term", "docid")) == [("x", 2), ("x", 3), ("y", 3), ("z", 1), ("z", 2), ("z", 3)]
+    dated = catch_up(own.where("term <> 'z'"), dictionaries(spark), days, AS_OF)
+    assert rows(dated.select("term", "docid")) == [("x", 2), ("x", 3), ("y", 3)]
+
+
+def test_literal_times_are_in_the_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        shown = spark.range(1).select(instant(AS_OF).cast("string"), instant(AS_OF.date()).cast("string")).first()
+        zoned = spark.range(1).select(instant(AS_OF.replace(tzinfo=dt.timezone.utc)).cast("string")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert tuple(shown) == ("2024-01-01 00:00:00",) * 2
+    assert zoned[0] == "2023-12-31 19:00:00"
