@@ -44,7 +44,7 @@ _SPACES = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 ORACLES = {
     "op7_line_dedup": rf"""
         WITH lines AS (
-            SELECT doc_id, generate_subscripts(parts, 1) AS at, unnest(parts) AS line
+            SELECT doc_id, generate_subscripts(parts, 1) AS place, unnest(parts) AS line
             FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
         ), keyed AS (
             SELECT *, translate(trim(line, {_SPACES}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines
@@ -54,7 +54,7 @@ ORACLES = {
             SELECT keyed.*, often.k IS NOT NULL AS gone FROM keyed LEFT JOIN often ON keyed.k = often.k
         )
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
-               sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '')) AS kept_sha256
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
         FROM marked GROUP BY doc_id""",
     "op8_content_sort_dedup": rf"""
         WITH bodies AS (
