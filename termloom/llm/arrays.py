@@ -20,7 +20,7 @@ BY_CHAR, BY_WORD = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F)
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
-    x = np.asarray(x, U)
+    x = np.atleast_1d(np.asarray(x, U))
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
     return x ^ (x >> U(31))
@@ -125,7 +125,7 @@ def shingles(hashes: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndar
     out[at] = mixed(whole[at + take] + U(size))
     for i in np.flatnonzero((counts > 0) & (counts < size)):
         part = hashes[bounds[i] : bounds[i + 1]]
-        out[out_bounds[i]] = mixed((part * step[: len(part)]).sum(dtype=U) + U(len(part)))
+        out[out_bounds[i]] = mixed((part * step[: len(part)]).sum(dtype=U, keepdims=True) + U(len(part)))[0]
     return out, out_bounds
 
 

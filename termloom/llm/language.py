@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 
 from termloom.llm.shared import held_out
 
-PIECE, LEVEL = 2048, 3
+PIECE, LEVEL = 2048, 9
+NO_LETTERS = re.compile(r"[\W\d_]+")
 LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
 
 
 def fit(docs: DataFrame, folds: int = 4, fold: int = 2, docs_per_lang: int = 400, dictionary_bytes: int = 96 << 10, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
-    """A dictionary for each language that occurs outside the held-out fold.
+    """A dictionary for each language that occurs outside the held-out fold, the most frequent language first.
 
     The sample has at most docs_per_lang documents of each language, chosen by a hash
     of the id before the shuffle. Each gives one piece, from a place that the hash
@@ -44,12 +45,18 @@ def fit(docs: DataFrame, folds: int = 4, fold: int = 2, docs_per_lang: int = 400
     for r in pieces:
         found.setdefault(r["lang"], []).append(r["piece"])
     out = {}
-    for lang, parts in sorted(found.items()):
-        data = "\n".join(parts).encode("utf-8", "surrogatepass")
+    counts = {r[0]: r[1] for r in known.groupBy("lang").count().collect()}
+    for lang, parts in sorted(found.items(), key=lambda x: (-counts[x[0]], x[0])):
+        data = b" ".join(map(normal, parts))
         out[lang] = data[-dictionary_bytes:] if len(data) >= 8 else data.ljust(8)
     return out
 
 
+def normal(text: str) -> bytes:
+    """The distinct lowered words of a text in their order; repeats tell nothing new about a language."""
+    return " ".join(dict.fromkeys(NO_LETTERS.split(text.lower()))).encode("utf-8", "surrogatepass")
+
+
 def compressors(dictionaries: dict[str, bytes]) -> list[zstandard.ZstdCompressor]:
     out = []
     for data in dictionaries.values():
@@ -60,8 +67,8 @@ def compressors(dictionaries: dict[str, bytes]) -> list[zstandard.ZstdCompressor
 
 
 def sizes(text: str, by: list[zstandard.ZstdCompressor]) -> np.ndarray:
-    """Compressed bytes of the whole text, by language; texts are lowered first, and cut evenly."""
-    data = text.lower().encode("utf-8", "surrogatepass")
+    """Compressed bytes of the whole text's words, by language, in even pieces."""
+    data = normal(text)
     pieces = [data[i : i + PIECE] for i in range(0, len(data), PIECE)]
     return np.array([sum(len(c.compress(p)) for p in pieces) for c in by], np.int64)
 
@@ -81,12 +88,12 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], least_margin: float
     Only the text is read, all of it. lang_pred is `und` with score 0 where the text is
     null or has no letter, where no language was learned, and where the best language
     saves less than `least_margin` of its size against the next one (0: never). Equal
-    sizes go to the language first by name. The score is 1 / (number of languages)
+    sizes, as very short texts have, go to the language first in `dictionaries`. The score is 1 / (number of languages)
     where all are equal, and nears 1 as the others need more bytes. Repeated rows are
     predicted each; an empty table gives no rows.
     """
-    names = sorted(dictionaries)
-    sent = docs.sparkSession.sparkContext.broadcast({k: dictionaries[k].lower() for k in names})  # a fixed size for each language
+    names = list(dictionaries)
+    sent = docs.sparkSession.sparkContext.broadcast(dictionaries)  # a fixed size for each language
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = compressors(sent.value)

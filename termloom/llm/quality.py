@@ -21,16 +21,25 @@ from termloom.llm import arrays as A
 from termloom.llm.shared import held_out, label_shares, labelled_sample
 
 BITS, GRAMS = 18, (3, 4, 5)
+#: Tokens of the mean vector that every document has besides its own; a few words decide less than many.
+FILL = 12.0
 
 
 def tokens(points: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(buckets, bounds by text) of the words, then of the n-grams of each size.
+    """(buckets, bounds by text) of the words, of word pairs, then of the character n-grams of each size.
 
+    A pair is hashed by the difference of its words, so all immediate repeats are one.
     A gram may begin or end with the space beside a word, and holds none inside.
     """
     shift = A.U(64 - BITS)
     word, bounds = A.words(points, starts, A.not_ascii_space())
     yield (word >> shift).astype(np.int32), bounds
+    if len(word) > 1:
+        pair = A.mixed(word[1:] - word[:-1] + A.U(1))
+        inside = np.ones(len(pair), bool)
+        inside[bounds[(bounds > 0) & (bounds < len(word))] - 1] = False
+        kept = np.flatnonzero(inside)
+        yield (pair[kept] >> shift).astype(np.int32), np.searchsorted(kept, bounds)
     space = ~A.not_ascii_space()[points]
     codes = A.point_codes()[np.where(space, np.uint32(32), points)]
     inner = np.concatenate([[0], np.cumsum(space)])
@@ -58,7 +67,7 @@ class Model:
             for buckets, bounds in tokens(points, starts):
                 total += A.sums(self.weights[buckets], bounds)
                 count += np.diff(bounds)
-            out[at : at + len(some)] = total / np.maximum(count, 1)
+            out[at : at + len(some)] = total / (count + FILL)
         return 1 / (1 + np.exp(-np.clip(out + self.bias, -40, 40)))
 
 
@@ -73,7 +82,7 @@ def _sampled(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str) ->
                 found = [b for b, _ in tokens(points, starts)]
                 own, times = np.unique(np.concatenate(found), return_counts=True)
                 ids.append(own.astype("<i4").tobytes())
-                shares.append((times / max(1, times.sum())).astype("<f4").tobytes())
+                shares.append((times / (times.sum() + FILL)).astype("<f4").tobytes())
             yield pa.RecordBatch.from_arrays([labels, pa.array(ids, pa.binary()), pa.array(shares, pa.binary())], ["y", "ids", "shares"])
 
     texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).join(F.broadcast(sample), "key")
@@ -82,7 +91,7 @@ def _sampled(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str) ->
     return sorted(rows, key=lambda r: (r[0], len(r[1]), r[1].tobytes()))
 
 
-def train(rows: list[tuple[int, np.ndarray, np.ndarray]], prior: float, dim: int = 16, epochs: int = 8, rate: float = 0.5, seed: int = 7) -> Model:
+def train(rows: list[tuple[int, np.ndarray, np.ndarray]], prior: float, dim: int = 16, epochs: int = 6, rate: float = 0.5, seed: int = 7) -> Model:
     """Stochastic gradient descent, one document at a time; labels weigh alike, and the prior comes in at the end."""
     logit = float(np.log(prior / (1 - prior))) if 0 < prior < 1 else (8.0 if prior >= 1 else -8.0)
     n_one = sum(y for y, _, _ in rows)

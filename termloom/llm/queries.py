@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termloom.llm import decontaminate, language, quality, toxicity
 from termloom.llm.exact_dedup import exact_duplicates
+from termloom.llm.jaccard_join import near_duplicates
 from termloom.llm.line_dedup import drop_repeated_lines
 from termloom.llm.packing import pack
+from termloom.llm.shared import ship
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -20,10 +24,25 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")), threshold=0.3)
+
+
+def op3_count_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 def op5_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_file(), size=2048, end_id=0)
 
 
+def op6_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model, _ = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, threshold=0.5)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_repeated_lines(table(spark, sf_dir, "documents"), min_docs=10)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -33,10 +52,25 @@ def op8_content_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.fit(docs))
+
+
+def op10_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold at least four fifths of an item's shingles of five words, with the item."""
+    return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), share=0.8, size=5)
+
+
 QUERIES = {
+    "op1_subword_quality": op1_subword_quality,
+    "op3_count_vector_join": op3_count_vector_join,
     "op5_bin_slack_packing": op5_bin_slack_packing,
+    "op6_weak_toxicity": op6_weak_toxicity,
     "op7_line_dedup": op7_line_dedup,
     "op8_content_sort_dedup": op8_content_sort_dedup,
+    "op9_compression_language": op9_compression_language,
+    "op10_benchmark_containment": op10_benchmark_containment,
 }
 
 _SPACES = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 
 #: Bytes that a broadcast may have at most; beyond it every operator has another way.
 BROADCAST_BYTES = 64 << 20
+_shipped: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -60,27 +63,39 @@ def label_shares(labels: DataFrame, key: str, label: str, folds: int, fold: int)
     return {r[0]: r[1] for r in known.groupBy(F.col(label).cast("int")).count().collect()}
 
 
-def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """The groups of equal keys in a sorted stream of batches, one table each; only one group is held."""
-    held: list[pa.RecordBatch] = []
-    last: tuple | None = None
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """(rows, bounds of the groups of equal keys in them) from a stream sorted by keys; the last group waits for its end."""
+    held: pa.Table | None = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
-        change = np.zeros(batch.num_rows, bool)
-        for c in columns:
-            change[1:] |= c[1:] != c[:-1]
-        starts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
-        for a, b in zip(starts[:-1], starts[1:], strict=True):
-            key = tuple(c[a] for c in columns)
-            if held and key != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(a, b - a))
-            last = key
-    if held:
-        yield pa.Table.from_batches(held)
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows])
+        change = np.zeros(rows.num_rows, bool)
+        change[0] = True
+        for k in keys:
+            column = rows.column(k).to_numpy()
+            change[1:] |= column[1:] != column[:-1]
+        bounds = np.flatnonzero(change)
+        held = rows.slice(bounds[-1])
+        if bounds[-1]:
+            yield rows.slice(0, bounds[-1]), bounds
+    if held is not None:
+        yield held, np.array([0, held.num_rows])
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the executors this package, once for each application; a cluster's workers need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="code-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, str(path.relative_to(root.parent)))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
 
 
 def components(edges: DataFrame, name: str, most_rounds: int = 60) -> DataFrame:

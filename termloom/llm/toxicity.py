@@ -24,52 +24,89 @@ from termloom.llm.shared import held_out, label_shares, labelled_sample
 GENERAL = {
     "mind": "idiot moron stupid dumb imbecile fool retard dimwit cretin dunce halfwit",
     "worth": "worthless pathetic loser useless failure nobody trash garbage scum filth vermin",
-    "person": "clown jerk bastard creep freak pig rat snake coward liar",
-    "disgust": "disgusting vile repulsive revolting gross nasty",
-    "threat": "kill die hurt beat destroy hang",
+    "person": "clown jerk bastard creep freak pig coward liar",
+    "disgust": "disgusting vile repulsive revolting nasty",
+    "threat": "kill destroy murder strangle",
 }
 #: Pattern voters: (name, pattern, vote); 1 toxic, -1 clean.
 PATTERNS = [
     ("addressed", r"\b(?:you|your|you're|u)\b[^.!?\n]{0,40}\b(?:idiot|moron|stupid|loser|trash|scum|clown|pathetic|worthless)", 1),
-    ("shouted", r"(?:\b[A-Z]{4,}!+[^a-z]{0,20}){2,}.*?\b(?:IDIOT|MORON|LOSER|SCUM|TRASH)\b", 1),
+    ("shouted", r"\b(?:IDIOT|MORON|STUPID|LOSER|SCUM|TRASH|CLOWN|PATHETIC|WORTHLESS|DISGUSTING)\b", 1),
     ("wished", r"\b(?:go|just|should)\s+(?:die|away|hang)\b", 1),
     ("censored", r"\b[a-zA-Z]+[*#@$%]{2,}[a-zA-Z]+\b", 1),
 ]
 LEARNED_VOTERS = 6
 WORD = re.compile(r"[^\W\d_]+")
-
-
-def learned_words(words: DataFrame, documents: dict[int, int], most: int = 256, least_docs: int = 4, least_odds: float = 2.5) -> list[tuple[str, float]]:
-    """(word, log odds): words that stand in far more of the sampled toxic texts than of the others. words: (word, toxic, clean)."""
-    toxic, clean = documents.get(1, 0), documents.get(0, 0)
-    odds = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
-    found = words.where(F.col("toxic") >= least_docs).select("word", odds.alias("odds"), "toxic").where(F.col("odds") >= least_odds)
-    return [(r["word"], r["odds"]) for r in found.orderBy(F.desc(F.col("odds") * F.log1p("toxic")), "word").limit(most).collect()]
+#: A feature is a word, or the first letters of a longer one, at a share of a text's words.
+PREFIXES, SHARES = (5, 6, 7, 8), (0.0, 0.005, 0.02)
+
+
+def units(points: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(ids, texts, words by text) of the words of all texts, then of their prefixes of each length."""
+    mask = A.letters()[points]
+    if not mask.any():
+        return
+    edge = np.diff(mask.view(np.int8), prepend=np.int8(0), append=np.int8(0))
+    begin, length = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - np.flatnonzero(edge == 1)
+    text = np.searchsorted(starts, begin, "right") - 1
+    total = np.bincount(text, minlength=len(starts) - 1)
+    place = np.arange(mask.sum()) - np.repeat(np.cumsum(length) - length, length)
+    terms = A.point_codes()[points[mask]] * A.powers(int(length.max()), A.BY_CHAR)[place]
+    for k in (0, *PREFIXES):
+        if k:
+            longer = length > k
+            if not longer.any():
+                return
+            part = terms[np.repeat(longer, length) & (place < k)].reshape(-1, k).sum(1, dtype=A.U)
+            yield A.mixed(part + A.U(k)) & ~A.U(3), text[longer], total
+        else:
+            yield A.mixed(np.add.reduceat(terms, np.cumsum(length) - length)) & ~A.U(3), text, total
+
+
+def features(text: str) -> np.ndarray:
+    """Sorted distinct features of one text: a unit's id plus the place of each share that it reaches."""
+    out = [np.zeros(0, A.U)]
+    for ids, _, total in units(*A.laid_out([text.lower()])):
+        own, times = np.unique(ids, return_counts=True)
+        out += [own[times >= share * total[0]] + A.U(level) for level, share in enumerate(SHARES)]
+    return np.unique(np.concatenate(out))
+
+
+def general_votes(text: str) -> list[int]:
+    """Of the lexicons known beforehand, then of the patterns."""
+    own = set(WORD.findall(text.lower()))
+    return [*(int(not own.isdisjoint(v.split())) for v in GENERAL.values()), *(v if re.search(p, text) else 0 for _, p, v in PATTERNS)]
 
 
 @dataclass
-class Voters:
-    """lexicons: (name, words), each votes toxic on a word of its own; `none` votes clean when no lexicon has a word."""
+class Sample:
+    """Labelled texts: label, a mark that copies mostly share, votes of the general voters, features."""
 
-    lexicons: list[tuple[str, frozenset[str]]]
+    y: np.ndarray
+    marks: np.ndarray
+    votes: np.ndarray
+    rows: list[np.ndarray]  # of places in vocabulary
+    vocabulary: np.ndarray
 
-    @classmethod
-    def of(cls, learned: list[tuple[str, float]]) -> Voters:
-        """The learned words are dealt out by strength, so that each voter has strong and weak ones."""
-        dealt = [(f"learned {k}", frozenset(w for w, _ in learned[k::LEARNED_VOTERS])) for k in range(LEARNED_VOTERS)]
-        return cls([*((f"general {k}", frozenset(v.split())) for k, v in GENERAL.items()), *(d for d in dealt if d[1])])
+    def learned(self, most: int = 192, least_texts: int = 4, least_share: float = 0.03, least_odds: float = 3.0) -> list[np.ndarray]:
+        """Lexicons of features that stand in far more toxic texts than others, dealt out by strength.
 
-    @property
-    def names(self) -> list[str]:
-        return [*(n for n, _ in self.lexicons), *(n for n, _, _ in PATTERNS), "none", "sparse"]
-
-    def votes(self, text: str) -> list[int]:
-        words = WORD.findall(text.lower())
-        own = set(words)
-        by_lexicon = [len(own & w) for _, w in self.lexicons]
-        by_pattern = [v if re.search(p, text) else 0 for _, p, v in PATTERNS]
-        hits = sum(by_lexicon)
-        return [*(int(n > 0) for n in by_lexicon), *by_pattern, 0 if hits else -1, -1 if hits == 0 and len(words) >= 20 else 0]
+        Copies, near ones as well, mostly share their smallest word pair and count as one text.
+        """
+        _, first = np.unique(np.stack([self.y, self.marks], 1), axis=0, return_index=True)
+        toxic, clean = (np.bincount(np.concatenate([self.rows[i] for i in first if self.y[i] == y] or [np.zeros(0, int)]), minlength=len(self.vocabulary)) for y in (1, 0))
+        n_toxic, n_clean = (max(1, int((self.y[first] == y).sum())) for y in (1, 0))
+        odds = np.log((toxic + 0.5) / (n_toxic + 1)) - np.log((clean + 0.5) / (n_clean + 1))
+        good = np.flatnonzero((toxic >= max(least_texts, least_share * n_toxic)) & (odds >= least_odds))
+        good = good[np.argsort(-odds[good] * np.log1p(toxic[good]), kind="stable")][:most]
+        return [part for k in range(LEARNED_VOTERS) if len(part := good[k::LEARNED_VOTERS])]
+
+    def all_votes(self, lexicons: list[np.ndarray]) -> np.ndarray:
+        """General voters, learned lexicons, and two that vote clean without a learned feature: in any text, and in a longer one."""
+        learned = np.array([[int(np.isin(part, row, assume_unique=True).any()) for part in lexicons] for row in self.rows], np.int64).reshape(len(self.y), -1)
+        none = learned.sum(1) == 0
+        long = np.array([len(r) for r in self.rows]) >= 60
+        return np.column_stack([self.votes, learned, np.where(none, -1, 0), np.where(none & long, -1, 0)])
 
 
 @dataclass
@@ -115,117 +152,133 @@ class LabelModel:
 
 @dataclass
 class Model:
-    """Weights of words (by hash, sorted) and the bias of the linear classifier."""
+    """ids: units with weight, sorted; weights: one for each share that a unit reaches in a text; and the bias."""
 
-    hashes: np.ndarray
+    ids: np.ndarray
     weights: np.ndarray
     bias: float
 
+    @classmethod
+    def of(cls, features: np.ndarray, weights: np.ndarray, bias: float) -> Model:
+        ids, place = np.unique(features & ~A.U(3), return_inverse=True)
+        table = np.zeros((len(ids), len(SHARES)))
+        table[place, (features & A.U(3)).astype(int)] = weights
+        return cls(ids, table, bias)
+
     def scores(self, texts: list[str]) -> np.ndarray:
-        """Every word of the whole text counts once."""
         odds = np.full(len(texts), self.bias)
-        for at, some in A.chunks([t.lower() for t in texts]):
-            words, bounds = A.words(*A.laid_out(some), A.letters())
-            if not (len(words) and len(self.hashes)):
-                continue
-            place = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
-            hit = np.flatnonzero(self.hashes[place] == words)
-            doc = np.searchsorted(bounds, hit, "right") - 1
-            once = np.unique(doc * np.int64(len(self.hashes)) + place[hit])
-            odds[at : at + len(some)] += np.bincount(once // len(self.hashes), self.weights[once % len(self.hashes)], len(some))
+        n = len(self.ids)
+        for at, some in A.chunks([t.lower() for t in texts]) if n else ():
+            for ids, text, total in units(*A.laid_out(some)):
+                place = np.minimum(np.searchsorted(self.ids, ids), n - 1)
+                hit = np.flatnonzero(self.ids[place] == ids)
+                pair, times = np.unique(text[hit] * np.int64(n) + place[hit], return_counts=True)
+                of, unit = pair // n, pair % n
+                reached = times[:, None] >= np.array(SHARES) * total[of][:, None]
+                odds[at : at + len(some)] += np.bincount(of, (self.weights[unit] * reached).sum(1), len(some))
         return 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
 
 
-def linear(rows: list[np.ndarray], posterior: np.ndarray, weight: np.ndarray, features: int, penalty: float = 2e-3, rounds: int = 400) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels with an absolute penalty, which leaves most words without weight; rows: distinct features."""
+def linear(rows: list[np.ndarray], posterior: np.ndarray, weight: np.ndarray, features: int, most: int = 512, penalty: float = 3e-4, rounds: int = 500) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft labels with an absolute penalty; rows: distinct features of each text.
+
+    Only the `most` features with the strongest slope where nothing is learned yet,
+    against its spread, take part; the penalty leaves many of them without weight.
+    """
     of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     cols = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    w, b, share = np.zeros(features), 0.0, weight / weight.sum()
-    ahead, t = w, 1.0
-    step = 4.0
+    share = weight / weight.sum()
+    rate = float(np.clip((share * posterior).sum(), 1e-4, 1 - 1e-4))
+    out, b = np.zeros(features), float(np.log(rate / (1 - rate)))
+    slope = np.bincount(cols, ((posterior - rate) * share)[of], features)
+    spread = np.sqrt(np.bincount(cols, (share**2)[of], features)) + 1e-9
+    used = np.sort(np.argsort(-np.abs(slope / spread), kind="stable")[:most])
+    place = np.full(features, -1)
+    place[used] = np.arange(len(used))
+    inside = place[cols] >= 0
+    of, cols = of[inside], place[cols[inside]]
+
+    def forward(w: np.ndarray) -> np.ndarray:
+        return np.bincount(of, w[cols], len(rows))
+
+    v = np.ones(len(used) + 1)  # the largest curvature, for the step
+    for _ in range(30):
+        v /= np.linalg.norm(v)
+        z = (forward(v[:-1]) + v[-1]) * share / 4
+        v = np.append(np.bincount(cols, z[of], len(used)), z.sum())
+    step = 1 / max(1e-9, float(np.linalg.norm(v)))
+    w = ahead = np.zeros(len(used))
+    b_ahead, t = b, 1.0
     for _ in range(rounds):
-        z = np.bincount(of, ahead[cols], len(rows)) + b
-        error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - posterior) * share
-        new = ahead - step * np.bincount(cols, error[of], features)
+        error = (1 / (1 + np.exp(-np.clip(forward(ahead) + b_ahead, -40, 40))) - posterior) * share
+        new = ahead - step * np.bincount(cols, error[of], len(used))
         new = np.sign(new) * np.maximum(np.abs(new) - step * penalty, 0)
-        b -= step * error.sum()
-        if np.bincount(of, new[cols], len(rows)).max(initial=0) > 200:
-            step /= 2
-            continue
+        b_new = b_ahead - step * float(error.sum())
         later = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        ahead, w, t = new + (t - 1) / later * (new - w), new, later
-    return w, b
+        ahead, b_ahead = new + (t - 1) / later * (new - w), b_new + (t - 1) / later * (b_new - b)
+        w, b, t = new, b_new, later
+    out[used] = w
+    return out, b
+
 
+def collected(texts: DataFrame, least_texts: int = 4) -> Sample:
+    """texts (y, text), of bounded number; features of fewer than least_texts of them are left out."""
 
-def _hash(words: list[str]) -> np.ndarray:
-    return A.words(*A.laid_out(words), A.letters())[0] if words else np.zeros(0, A.U)
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.column(1).to_pylist()
+            pairs = [A.shingles(*A.words(*A.laid_out([t.lower()]), A.letters()), 2)[0] >> A.U(1) for t in rows]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([int(p.min(initial=np.iinfo(np.int64).max)) for p in pairs], pa.int64()),
+                 pa.array([general_votes(t) for t in rows], pa.list_(pa.int32())), pa.array([features(t).tobytes() for t in rows], pa.binary())], ["y", "mark", "votes", "features"])
+
+    found = texts.select("y", "text").mapInArrow(read, "y int, mark long, votes array<int>, features binary").collect()
+    found = sorted((r for r in found if r["y"] in (0, 1)), key=lambda r: (r["y"], r["mark"], bytes(r["features"])))
+    own = [np.frombuffer(r["features"], "<u8") for r in found]
+    vocabulary, times = np.unique(np.concatenate(own), return_counts=True) if own else (np.zeros(0, A.U), np.zeros(0))
+    vocabulary = vocabulary[times >= least_texts]
+    rows = [at[vocabulary[at] == w] for w in own if len(vocabulary) for at in [np.minimum(np.searchsorted(vocabulary, w), len(vocabulary) - 1)]]
+    return Sample(
+        np.array([r["y"] for r in found], int), np.array([r["mark"] for r in found], np.int64), np.array([r["votes"] for r in found], np.int64).reshape(len(found), -1),
+        rows if len(vocabulary) else [np.zeros(0, int)] * len(own), vocabulary)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5, fold: int = 0, rows_per_label: int = 2000, least_docs: int = 4, id_col: str = "doc_id", text_col: str = "text") -> tuple[Model, Voters, LabelModel]:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5, fold: int = 0, rows_per_label: int = 2000, id_col: str = "doc_id", text_col: str = "text") -> tuple[Model, LabelModel | None]:
     """Fitted on at most rows_per_label documents of each label outside the held-out fold.
 
     Labels only build the learned lexicons and, counted over all of them, the prior; the
-    classifier sees posteriors. Without both labels nothing can be learned, and the
-    general lexicons alone vote.
+    classifier sees posteriors. Without labelled texts the general lexicons alone count.
     """
     shares = label_shares(labels, id_col, label, folds, fold)
     total = shares.get(0, 0) + shares.get(1, 0)
     prior = shares.get(1, 0) / total if total else 0.1
     sample = labelled_sample(labels, id_col, label, folds, fold, rows_per_label)
     texts = docs.select(F.col(id_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(sample), "key")
-
-    def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = [sorted(set(WORD.findall(t.lower()))) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(words, pa.list_(pa.string()))], ["y", "words"])
-
-    words = texts.select("key", "y", "text").mapInArrow(distinct_words, "y int, words array<string>").select("y", F.explode("words").alias("word"))
-    counted = words.groupBy("word").agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean"))
-    documents = {r[0]: r[1] for r in sample.groupBy("y").count().collect()}
-    voters = Voters.of(learned_words(counted, documents))
-
-    def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.column(2).to_pylist()
-            hashes = [np.unique(_hash([t.lower()])).tobytes() for t in rows]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array([voters.votes(t) for t in rows], pa.list_(pa.int32())), pa.array(hashes, pa.binary())], ["y", "votes", "words"])
-
-    found = texts.select("key", "y", "text").mapInArrow(voted, "y int, votes array<int>, words binary").collect()
-    found = sorted((r for r in found if r["y"] in (0, 1)), key=lambda r: (r["y"], bytes(r["words"])))
-    if not found:
-        known = _hash(sorted({w for v in GENERAL.values() for w in v.split()}))
-        order = np.argsort(known)
-        model = Model(known[order], np.full(len(known), 3.0), float(np.log(prior / (1 - prior))) if 0 < prior < 1 else -2.0)
-        return model, voters, LabelModel(np.zeros((len(voters.names), 2, 3)), np.ones(len(voters.names)), 0.0)
-    votes = np.array([r["votes"] for r in found], np.int64)
-    y = np.array([r["y"] for r in found])
-    seen = {0: max(1, int((y == 0).sum())), 1: max(1, int((y == 1).sum()))}
-    label_model = LabelModel.fit(votes, seen[1] / len(y))
+    found = collected(texts)
+    if not len(found.y):
+        return _with_general(Model(np.zeros(0, A.U), np.zeros((0, len(SHARES))), -3.0)), None
+    votes = found.all_votes(found.learned())
+    n_toxic = int((found.y == 1).sum())
+    label_model = LabelModel.fit(votes, n_toxic / len(votes))
     posterior = label_model.posteriors(votes)
     # the sample has both labels alike; weights bring back how often each occurs
-    weight = np.where(y == 1, prior / seen[1], (1 - prior) / seen[0]) + 1e-9
-    own = [np.frombuffer(r["words"], "<u8") for r in found]
-    vocabulary, times = np.unique(np.concatenate(own), return_counts=True)
-    vocabulary = vocabulary[times >= least_docs]
-    rows = [np.searchsorted(vocabulary, w[np.isin(w, vocabulary)]) for w in own]
-    weights, bias = linear(rows, posterior, weight, len(vocabulary))
+    weight = np.where(found.y == 1, prior / max(1, n_toxic), (1 - prior) / max(1, len(votes) - n_toxic)) + 1e-9
+    weights, bias = linear(found.rows, posterior, weight, len(found.vocabulary))
     used = np.flatnonzero(weights)
-    model = Model(vocabulary[used], weights[used], bias)
-    return _with_general(model), voters, label_model
+    return _with_general(Model.of(found.vocabulary[used], weights[used], bias)), label_model
 
 
-def _with_general(model: Model) -> Model:
+def _with_general(model: Model, least: float = 6.0) -> Model:
     """Insults known beforehand that the sample does not show get the median weight of those that it shows."""
-    known = _hash(sorted({w for k, v in GENERAL.items() if k != "threat" for w in v.split()}))
-    shown = np.isin(model.hashes, known)
-    if not shown.any():
-        return model
-    extra = np.setdiff1d(known, model.hashes)
-    hashes = np.concatenate([model.hashes, extra])
-    weights = np.concatenate([model.weights, np.full(len(extra), np.median(model.weights[shown]))])
-    order = np.argsort(hashes)
-    return Model(hashes[order], weights[order], model.bias)
+    listed = sorted({w for k, v in GENERAL.items() if k != "threat" for w in v.split()})
+    known = np.array([next(units(*A.laid_out([w])))[0][0] for w in listed], A.U)
+    shown = np.isin(model.ids, known)
+    weight = float(np.median(model.weights[shown].sum(1))) if shown.any() else least
+    extra = np.setdiff1d(known, model.ids)
+    ids = np.concatenate([model.ids, extra])
+    weights = np.concatenate([model.weights, np.tile([weight, 0.0, 0.0], (len(extra), 1))])
+    order = np.argsort(ids)
+    return Model(ids[order], weights[order], model.bias)
 
 
 def score(docs: DataFrame, model: Model, folds: int = 5, fold: int = 0, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
