@@ -18,6 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from termloom.llm.shared import BROADCAST_BYTES, settled
 
@@ -175,6 +176,14 @@ class LineIndex:
         rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
         return self._filtered(rows) if small else self._joined(rows)
 
+    def rewrite(self, docs: DataFrame, text_col: str = "text", length_col: str = "n_chars", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+        """docs, all columns, with the text that drop_lines keeps and, where there is such a column, its length; null texts stay null."""
+        rest = F.struct(*(F.col(c) for c in docs.columns if c != text_col), F.col(text_col).isNull().alias("_absent"))
+        kept = self.drop_lines(docs.select(rest.alias("doc_id"), text_col), "doc_id", text_col, broadcast_bytes)
+        text = F.when(~F.col("doc_id._absent"), F.col("kept_text"))
+        made = {text_col: text, length_col: F.char_length(text).cast(docs.schema[length_col].dataType) if length_col in docs.columns else None}
+        return kept.select(*(made[c].alias(c) if c in made else F.col("doc_id").getField(c).alias(c) for c in docs.columns))
+
     def _filtered(self, rows: DataFrame) -> DataFrame:
         spark = rows.sparkSession
         data = {int(r["shard"]): bytes(r["data"]) for r in self.filters.collect()}
@@ -243,12 +252,13 @@ class LineIndex:
 
         lines = rows.select("text").distinct().mapInArrow(spread, "of binary, at int, digest binary")
         places = lines.join(self.frequent(), "digest", "left_semi").groupBy("of").agg(F.collect_set("at").alias("gone"))
-        key = rows.schema["doc_id"].dataType.simpleString()
-        return rows.mapInArrow(named, f"doc_id {key}, text string, of binary").join(places, "of", "left").select("doc_id", "text", "gone").mapInArrow(drop, _schema(rows))
+        key = T.StructType([rows.schema["doc_id"], T.StructField("text", T.StringType()), T.StructField("of", T.BinaryType())])
+        return rows.mapInArrow(named, key).join(places, "of", "left").select("doc_id", "text", "gone").mapInArrow(drop, _schema(rows))
 
 
-def _schema(rows: DataFrame) -> str:
-    return f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_lines long, n_dropped long, kept_text string"
+def _schema(rows: DataFrame) -> T.StructType:
+    counts = [T.StructField(c, T.LongType()) for c in ("n_lines", "n_dropped")]
+    return T.StructType([rows.schema["doc_id"], *counts, T.StructField("kept_text", T.StringType())])
 
 
 def _result(ids: pa.Array, texts: list[str], keys: list[list[bytes]], hit: np.ndarray) -> pa.RecordBatch:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import decontaminate, language, quality, toxicity
+from termloom.llm import decontaminate, language, licenses, pii, quality, toxicity
 from termloom.llm.exact_dedup import exact_duplicates
 from termloom.llm.jaccard_join import near_duplicates
 from termloom.llm.line_dedup import drop_repeated_lines
@@ -29,10 +29,19 @@ def op1_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")), threshold=0.3)
 
 
+def op2_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key is a parameter of the operator; this one makes the query repeatable."""
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), key="corpus-2")
+
+
 def op3_count_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=85)
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), share=0.8).drop("blocks")
+
+
 def op5_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_file(), size=2048, end_id=0)
 
@@ -64,7 +73,9 @@ def op10_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_subword_quality": op1_subword_quality,
+    "op2_feistel_pii": op2_feistel_pii,
     "op3_count_vector_join": op3_count_vector_join,
+    "op4_license_scan": op4_license_scan,
     "op5_bin_slack_packing": op5_bin_slack_packing,
     "op6_weak_toxicity": op6_weak_toxicity,
     "op7_line_dedup": op7_line_dedup,
