@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 ROUNDS = 10
 #: What is looked for; the order decides where two could begin at one place.
 FORMATS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"[\p{L}0-9][\p{L}0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "date": r"(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\d./-]*\d)",
     "ip": r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![.\d])",
     "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)",
