@@ -25,9 +25,11 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical without white space. Spark samples splitters of the
-    normalised texts, range-partitions and sorts by them; rows are compared with their
-    neighbours over the full text. Of equal texts the row with the most code points
-    stays, then the smallest id.
+    normalised texts' first characters, and of a 64-bit hash behind them so that texts
+    that begin alike are spread, too; it range-partitions and sorts by them and the
+    text, and rows are compared with their neighbours over the full text. The splitters
+    sent to the driver are short whatever the texts. Of equal texts the row with the
+    most code points stays, then the smallest id.
 
     A text that more than `hot_share` of all rows have is cut into `salts` parts, so no
     task gets them all; there are at most 1 / hot_share such texts. Their parts' winners
@@ -45,14 +47,14 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         base.groupBy(F.xxhash64("body").alias("mark")).agg(F.count("*").alias("n"))
         .where(F.col("n") > F.lit(max(limit, 2.0))).select("mark", F.lit(True).alias("hot")), "hot-texts")
     salted = base.withColumn("mark", F.xxhash64("body")).join(F.broadcast(hot), "mark", "left").select(
-        "doc_id", "body", "points", F.coalesce("hot", F.lit(False)).alias("hot"),
+        "doc_id", "body", "points", "mark", F.substring("body", 1, 32).alias("begin"), F.coalesce("hot", F.lit(False)).alias("hot"),
         F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.lit(salts))).otherwise(F.lit(0)).cast("int").alias("salt"))
 
     best_first = [F.col("points").desc(), F.col("doc_id").asc_nulls_last()]
-    group = Window.partitionBy("body", "salt")
+    group = Window.partitionBy("begin", "mark", "salt", "body")
     ordered = group.orderBy(*best_first)
     found = settled(
-        salted.repartitionByRange("body", "salt").select(
+        salted.repartitionByRange("begin", "mark", "salt").select(
             "doc_id", "hot", F.sha2("body", 256).alias("text_sha256"),
             F.row_number().over(ordered).alias("nth"),
             F.first("doc_id").over(ordered).alias("head"), F.first("points").over(ordered).alias("head_points"),
