@@ -4,7 +4,8 @@ A document is its set of shingle hashes. Hashing the shingles into groups and co
 each group makes it a point; the summed minima of two points' coordinates bound how
 many shingles the two can share, and so do a point and a box of points. An R-tree over
 the points therefore leaves out whole boxes, then pairs; what survives is verified on
-the sets themselves.
+the sets themselves. Trees have few coordinates; pairs that they admit are bounded once
+more with a number of groups that grows with the sets.
 
 One tree over a corpus is neither one task's work nor selective. The trees are built
 over shards that no qualifying pair can miss: two sets as similar as asked share one of
@@ -39,7 +40,35 @@ def shingle_sets(texts: list[str], size: int) -> Iterator[np.ndarray]:
 
 
 def point(shingles: np.ndarray) -> np.ndarray:
-    return np.bincount((shingles >> A.U(24)).astype(np.int64) % GROUPS, minlength=GROUPS).astype(np.int32)
+    """Counts of the shingles' groups. The number of groups, a power of two, grows with the set, as chance alone
+    spreads the counts of large sets by less than two similar ones may differ in a few groups; no count exceeds a byte."""
+    groups = max(GROUPS, 1 << int(len(shingles) / 6).bit_length())
+    places = (shingles >> A.U(24)).astype(np.int64)
+    while (counts := np.bincount(places % groups, minlength=groups)).max() > 255:
+        groups *= 2
+    return counts.astype(np.uint8)
+
+
+def folded(points: np.ndarray, groups: int) -> np.ndarray:
+    """Rows of counts with neighbouring groups added up until there are so many."""
+    return points.reshape(-1, points.shape[-1] // groups, groups).sum(1, dtype=np.int32)
+
+
+def bounds_of(points: list[bytes]) -> np.ndarray:
+    """All points with the least number of groups: those that stand in trees."""
+    out = np.zeros((len(points), GROUPS), np.int32)
+    sizes = np.array([len(p) for p in points])
+    for groups in np.unique(sizes).tolist():
+        at = np.flatnonzero(sizes == groups)
+        out[at] = folded(np.frombuffer(b"".join(points[i] for i in at), np.uint8).reshape(-1, groups), GROUPS)
+    return out
+
+
+def may_share(a: bytes, b: bytes, percent: int) -> bool:
+    """Whether the summed minima over as many groups as both points have allow enough shared shingles."""
+    groups = min(len(a), len(b))
+    x, y = (folded(np.frombuffer(p, np.uint8)[None], groups)[0] for p in (a, b))
+    return int(np.minimum(x, y).sum()) >= least_shared(int(x.sum()), int(y.sum()), percent)
 
 
 def least_shared(a: np.ndarray | int, b: np.ndarray | int, percent: int) -> np.ndarray | int:
@@ -115,7 +144,7 @@ def join_points(points: np.ndarray, percent: int, split: int | None = None, veri
     """Pairs of places that connect all points which can share enough, without pairs that are connected already.
 
     split: only pairs of a place below it with one from it on count (two blocks meet).
-    verify(a, others): which of the pairs really share enough; without it the bound decides.
+    verify(a, b): whether a pair that the bound admits is one; without it the bound decides.
     """
     tree, links = CountTree(points), Links(len(points))
     sizes = tree.sizes
@@ -155,7 +184,7 @@ def _features(docs: DataFrame, size: int, percent: int, id_col: str, text_col: s
             for s in shingle_sets([t or "" for t in batch.column(1).to_pylist()], size):
                 n.append(len(s))
                 prints.append(np.array([s.sum(dtype=A.U), A.mixed(s).sum(dtype=A.U) if len(s) else A.U(0)], "<u8").tobytes())
-                points.append(point(s).astype("<i4").tobytes())
+                points.append(point(s).tobytes() if len(s) else b"")
                 firsts.append(s[: len(s) - (percent * len(s) + 99) // 100 + 1].astype(np.int64) if len(s) else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array(points, pa.binary()), pa.array(firsts, pa.list_(pa.int64()))],
@@ -205,7 +234,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     # of equal sets one goes on
     standing = filled.join(reps.where("doc_id <> rep").select("doc_id", F.col("rep").alias("r")), "doc_id", "left").where("r IS NULL").select("doc_id", "n", "point", "firsts")
 
-    keys = standing.select("doc_id", "n", F.explode("firsts").alias("key"))
+    keys = standing.select("doc_id", F.explode("firsts").alias("key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key")
     held = settled(keys.join(shared, "key", "left_semi").select("doc_id", "key"), "shard-keys")
     points = standing.select("doc_id", "point").join(held.select("doc_id").distinct(), "doc_id", "left_semi")
@@ -214,17 +243,23 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, bounds in whole_groups(batches, ["unit", "first", "second"]):
             ids = rows.column("doc_id").to_numpy()
-            at = np.frombuffer(b"".join(rows.column("point").to_pylist()), "<i4").reshape(len(ids), GROUPS)
+            full = rows.column("point").to_pylist()
+            at = bounds_of(full)
             sizes, starts = np.diff(bounds), bounds[:-1]
             two = starts[sizes == 2]  # most shards; one pair each
             one_block = rows.column("first").to_numpy() == rows.column("second").to_numpy()
             two = two[one_block[two]]
             total = at.sum(1)
             fit = np.minimum(at[two], at[two + 1]).sum(1) >= least_shared(total[two], total[two + 1], percent)
-            a, b = [two[fit]], [two[fit] + 1]
+            two = np.array([i for i in two[fit].tolist() if may_share(full[i], full[i + 1], percent)], np.int64)
+            a, b = [two], [two + 1]
             for k in np.flatnonzero((sizes > 2) | ((sizes == 2) & ~one_block[starts])).tolist():
                 begin, end = bounds[k], bounds[k + 1]
-                pairs = np.array(join_points(at[begin:end], percent, _split(rows.slice(begin, end - begin))), np.int64).reshape(-1, 2)
+
+                def finer(x: int, y: int, begin=begin, full=full) -> bool:
+                    return may_share(full[begin + x], full[begin + y], percent)
+
+                pairs = np.array(join_points(at[begin:end], percent, _split(rows.slice(begin, end - begin)), finer), np.int64).reshape(-1, 2)
                 a.append(pairs[:, 0] + begin), b.append(pairs[:, 1] + begin)
             left, right = ids[np.concatenate(a)], ids[np.concatenate(b)]
             pairs = np.unique(np.stack([np.minimum(left, right), np.maximum(left, right)], 1), axis=0)
@@ -248,7 +283,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
                     there = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(x) else 0
                     return there > 0 and 100 * there >= percent * (len(x) + len(y) - there)
 
-                at = np.array([point(s) for s in sets]).reshape(len(sets), GROUPS)
+                at = bounds_of([point(s).tobytes() if len(s) else bytes(GROUPS) for s in sets])
                 for a, b in join_points(at, percent, _split(group), verify) if len(ids) > 1 else ():
                     left.append(int(ids[a])), right.append(int(ids[b]))
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
