@@ -237,6 +237,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     keys = standing.select("doc_id", F.explode("firsts").alias("key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key")
     held = settled(keys.join(shared, "key", "left_semi").select("doc_id", "key"), "shard-keys")
+    # copies share many keys: of those with the same documents, told by count, ends and a sum of hashes, one is a shard
+    same = held.groupBy("key").agg(F.count("*").alias("times"), F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("all"))
+    chosen = same.groupBy("times", "least", "most", "all").agg(F.min("key").alias("key")).select("key")
+    held = settled(held.join(chosen, "key", "left_semi"), "shards")
     points = standing.select("doc_id", "point").join(held.select("doc_id").distinct(), "doc_id", "left_semi")
     sharded = in_blocks(held.join(points, "doc_id").withColumn("one", F.lit(1)), F.col("key"), "one", most_points)
 
