@@ -9,8 +9,8 @@ more with a number of groups that grows with the sets.
 
 One tree over a corpus is neither one task's work nor selective. The trees are built
 over shards that no qualifying pair can miss: two sets as similar as asked share one of
-the first shingles (by hash) of either, as many as either may lack, so a shard is what
-shares such a shingle. Points in a shard are joined first; what can still be linked is
+the first shingles of either (by hash, frequent ones last), as many as either may lack
+and one more, so a shard is what shares such a shingle. Points in a shard are joined first; what can still be linked is
 gathered into candidate components, and only their documents' sets are compared.
 Shards above a weight are cut into blocks that meet in pairs.
 """
@@ -175,17 +175,40 @@ def join_points(points: np.ndarray, percent: int, split: int | None = None, veri
     return links.found
 
 
-def _features(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n, print (of the whole set), point, firsts: the first shingles by hash, one more than a partner may lack."""
+def frequent_shingles(docs: DataFrame, size: int, text_col: str, share: float = 0.001, least: int = 8, most: int = 300_000) -> np.ndarray:
+    """Shingles that many documents have, sorted: at most `most` of those in `share` of a batch's documents.
+
+    A shingle that stands in more of all documents does so in some batch. They only
+    move to the end of the order in which first shingles are taken; every order finds
+    all pairs, so which ones are known here changes the work and not the result.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = list(shingle_sets([t or "" for t in batch.column(0).to_pylist()], size))
+            found, times = np.unique(np.concatenate(own), return_counts=True) if own else (np.zeros(0, A.U), np.zeros(0, np.int64))
+            often = times >= max(least, share * len(own))
+            yield pa.RecordBatch.from_arrays([pa.array(found[often].astype(np.int64)), pa.array(times[often].astype(np.int64))], ["key", "n"])
+
+    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return np.sort(np.array([r["key"] for r in counted.orderBy(F.desc("n"), "key").limit(most).collect()], np.int64).view(A.U))
+
+
+def _features(docs: DataFrame, frequent: np.ndarray, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, n, print (of the whole set), point, firsts: the first shingles, one more than a partner may lack; frequent ones come last."""
+    sent = docs.sparkSession.sparkContext.broadcast(frequent)  # of bounded number
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        late = sent.value
         for batch in batches:
             n, prints, points, firsts = [], [], [], []
             for s in shingle_sets([t or "" for t in batch.column(1).to_pylist()], size):
                 n.append(len(s))
                 prints.append(np.array([s.sum(dtype=A.U), A.mixed(s).sum(dtype=A.U) if len(s) else A.U(0)], "<u8").tobytes())
                 points.append(point(s).tobytes() if len(s) else b"")
-                firsts.append(s[: len(s) - (percent * len(s) + 99) // 100 + 1].astype(np.int64) if len(s) else np.zeros(0, np.int64))
+                often = late[np.minimum(np.searchsorted(late, s), len(late) - 1)] == s if len(late) else np.zeros(len(s), bool)
+                ordered = np.concatenate([s[~often], s[often]])
+                firsts.append(ordered[: len(s) - (percent * len(s) + 99) // 100 + 1].view(np.int64) if len(s) else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array(points, pa.binary()), pa.array(firsts, pa.list_(pa.int64()))],
                 ["doc_id", "n", "print", "point", "firsts"])
@@ -194,6 +217,14 @@ def _features(docs: DataFrame, size: int, percent: int, id_col: str, text_col: s
         read, "doc_id long, n long, print binary, point binary, firsts array<long>")
 
 
+def rows_of(rows: DataFrame, ids: DataFrame, bits: int = 25) -> DataFrame:
+    """rows whose doc_id may be in ids: a filter of 2**bits bits, so at most 2**(bits - 6) numbers, before a join that decides."""
+    place = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(11)), 64 - bits)
+    word, bit = F.shiftright(place, 6), F.shiftleft(F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
+    words = settled(ids.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("set")), "id-filter")
+    return rows.withColumn("word", word).join(F.broadcast(words), "word").where(F.col("set").bitwiseAND(bit) != 0).drop("word", "set")
+
+
 def in_blocks(members: DataFrame, unit: Column, weight: str, most: int) -> DataFrame:
     """members (doc_id, ...) with `unit`, and where they meet: first, second, of two blocks of their unit.
 
@@ -225,7 +256,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     most_points and most_shingles bound what one task holds of a shard; a shard above
     them is cut into blocks.
     """
-    features = settled(_features(docs, size, percent, id_col, text_col), "shingle-points")
+    frequent = frequent_shingles(docs, size, text_col)
+    features = settled(_features(docs, frequent, size, percent, id_col, text_col), "shingle-points")
     filled = features.where("n > 0 AND doc_id IS NOT NULL")
     classes = filled.groupBy("print", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     reps = settled(
@@ -292,7 +324,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
                     left.append(int(ids[a])), right.append(int(ids[b]))
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
-    links = _groups(gathered.join(texts, "doc_id")).mapInArrow(exact, "a long, b long")
+    links = _groups(gathered.join(rows_of(texts, candidates.select("doc_id")), "doc_id")).mapInArrow(exact, "a long, b long")
     linked = components(links.unionByName(reps.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))), "near")
     return features.select("doc_id", "n").join(linked, features["doc_id"] == linked["id"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
