@@ -220,7 +220,7 @@ def _features(docs: DataFrame, frequent: np.ndarray, size: int, percent: int, id
 def rows_of(rows: DataFrame, ids: DataFrame, bits: int = 25) -> DataFrame:
     """rows whose doc_id may be in ids: a filter of 2**bits bits, so at most 2**(bits - 6) numbers, before a join that decides."""
     place = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(11)), 64 - bits)
-    word, bit = F.shiftright(place, 6), F.shiftleft(F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
+    word, bit = F.shiftright(place, 6), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
     words = settled(ids.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("set")), "id-filter")
     return rows.withColumn("word", word).join(F.broadcast(words), "word").where(F.col("set").bitwiseAND(bit) != 0).drop("word", "set")
 
