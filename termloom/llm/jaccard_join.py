@@ -42,7 +42,7 @@ def shingle_sets(texts: list[str], size: int) -> Iterator[np.ndarray]:
 def point(shingles: np.ndarray) -> np.ndarray:
     """Counts of the shingles' groups. The number of groups, a power of two, grows with the set, as chance alone
     spreads the counts of large sets by less than two similar ones may differ in a few groups; no count exceeds a byte."""
-    groups = max(GROUPS, 1 << int(len(shingles) / 6).bit_length())
+    groups = max(GROUPS, 1 << int(len(shingles) / 12).bit_length())
     places = (shingles >> A.U(24)).astype(np.int64)
     while (counts := np.bincount(places % groups, minlength=groups)).max() > 255:
         groups *= 2
