@@ -61,7 +61,7 @@ def powers(n: int, base: np.uint64) -> np.ndarray:
     return _powers(1 << max(6, int(n - 1).bit_length()), int(base))
 
 
-def chunks(texts: list[str], points: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
+def chunks(texts: list[str], points: int = 1 << 18) -> Iterator[tuple[int, list[str]]]:
     """Runs of texts with about so many code points (a longer text is alone), each with its place."""
     start, total = 0, 0
     for i, text in enumerate(texts):

@@ -35,11 +35,13 @@ def encoder(path: str):
 
     from tokenizers import Tokenizer
 
-    own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
+    made: list[Tokenizer] = []  # only where it is needed: it takes ten times the memory of the ranks
 
     def slow(text: str) -> list[int]:
-        return own.encode(text, add_special_tokens=False).ids
+        if not made:
+            made.append(Tokenizer.from_file(path))
+            made[0].encode_special_tokens = True
+        return made[0].encode(text, add_special_tokens=False).ids
 
     ranks = path.removesuffix(".json") + ".tiktoken"
     if not (path.endswith(".json") and os.path.exists(ranks)):

@@ -1,0 +1,395 @@
+"""Each operator against a plain computation, on hard rows and on the given tables."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+from itertools import combinations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from termloom.llm import decontaminate, language, licenses, pii, quality, toxicity
+from termloom.llm import jaccard_join as J
+from termloom.llm.exact_dedup import exact_duplicates
+from termloom.llm.line_dedup import CuckooFilter, LineIndex, digest, drop_repeated_lines, halves
+from termloom.llm.packing import bin_plan, cut, pack
+from termloom.llm.queries import ORACLES, QUERIES, tokenizer_file
+from termloom.llm.shared import components
+
+SF = "/root/testdata/sf0.001"
+SPACES = " \t\n\x0b\f\r"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+SCHEMA = "doc_id long, text string, lang string, score string, component_id long, n long, kept string"
+#: Nulls in any column, empty and white texts, ties, repeated rows, a long text, names that operators use themselves.
+HARD = [
+    (1, None, None, "x", 5, None, None), (2, "", "en", None, 5, 1, "k"), (3, " \t\n ", "en", "x", None, 1, "k"), (4, "One line", "en", "x", 5, 1, "k"),
+    (4, "One line", "en", "x", 5, 1, "k"), (5, "one  LINE\n", "en", "x", 5, 1, "k"), (None, "one line", None, None, None, None, None),
+    (7, "word " * 30_000, "en", "x", 5, 1, "k"), (8, "é" * 40 + "\n123-456 @ 4\x00", "fr", "x", 5, 1, "k"), (9, "a b c", "en", "x", 5, 1, "k"), (10, "a b c", "en", "x", 5, 1, "k"),
+]
+
+
+def hard(spark, empty=False):
+    return spark.createDataFrame([] if empty else HARD, SCHEMA)
+
+
+def documents(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def texts(spark):
+    return {r["doc_id"]: r["text"] for r in documents(spark).select("doc_id", "text").collect()}
+
+
+def empty_labels(spark):
+    return spark.createDataFrame([], "doc_id long, quality int, toxic int")
+
+
+def test_exact_duplicates_of_hard_rows(spark):
+    got = exact_duplicates(hard(spark)).collect()
+    assert len(got) == len(HARD)
+    by = {r["doc_id"]: r for r in got}
+    assert by[1]["keep_id"] == by[2]["keep_id"] == by[3]["keep_id"] == 3 and by[1]["group_size"] == 3
+    assert by[4]["keep_id"] == 4 and by[4]["group_size"] == 2 and by[9]["keep_id"] == by[10]["keep_id"] == 9
+    assert sum(r["kept"] for r in got if r["doc_id"] == 4) == 1
+    assert by[4]["text_sha256"] == hashlib.sha256(b"Oneline").hexdigest()
+    assert exact_duplicates(hard(spark, True)).count() == 0
+
+
+def test_exact_duplicates_with_a_hot_text(spark):
+    rows = [(i, "same text" if i % 3 == 0 else f"t{i % 50}" + " " * (i % 4)) for i in range(600)]
+    got = {r["doc_id"]: r for r in exact_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), hot_share=0.01, salts=7).collect()}
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(t.translate({ord(c): None for c in SPACES}), []).append((-len(t), i))
+    for own in groups.values():
+        for _, i in own:
+            assert (got[i]["keep_id"], got[i]["group_size"], got[i]["kept"]) == (min(own)[1], len(own), i == min(own)[1])
+
+
+def plain_lines(rows, least):
+    def keys(t):
+        return [line.strip(SPACES).translate(LOWER) for line in (t or "").split("\n")]
+
+    often = Counter(k for t in rows for k in set(keys(t)) if k)
+    return [(len(keys(t)), "\n".join(line for line, k in zip((t or "").split("\n"), keys(t), strict=True) if often[k] < least)) for t in rows]
+
+
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
+def test_line_dedup_both_ways(spark, broadcast_bytes):
+    rows = [f"Shared {i % 7} \n own {i}\n\nSHARED {i % 3}" for i in range(60)] + [None, "", "\n", "shared 1\r"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_lines"], r["kept_text"]) for r in drop_repeated_lines(docs, min_docs=9, shards=5, broadcast_bytes=broadcast_bytes).collect()}
+    assert [got[i] for i in range(len(rows))] == plain_lines(rows, 9)
+
+
+def test_line_dedup_of_hard_rows(spark):
+    assert drop_repeated_lines(hard(spark), min_docs=2).count() == len(HARD)
+    assert drop_repeated_lines(hard(spark, True)).count() == 0
+    out = LineIndex.of(hard(spark), min_docs=3).rewrite(hard(spark))
+    assert out.columns == hard(spark).columns and out.where("doc_id = 1 AND text IS NULL").count() == 1
+    assert out.where("doc_id = 4 AND text = ''").count() == 2  # three rows have the line, one more differs inside
+
+
+def test_line_index_is_reversible(spark):
+    def frame(rows):
+        return spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string")
+
+    first, more = [f"a {i % 4}\nb {i}" for i in range(20)], [f"a {i % 4}\nc {i % 2}" for i in range(12)]
+    index = LineIndex.of(frame(first), min_docs=5, shards=3)
+    both = index.insert(frame(more))
+    back = both.delete(frame(more))
+    for state, rows in ((both, first + more), (back, first)):
+        plain = LineIndex.of(frame(rows), min_docs=5, shards=3)
+        assert sorted(map(tuple, state.refs.select("digest", "refs").collect())) == sorted(map(tuple, plain.refs.select("digest", "refs").collect()))
+        got = {r["doc_id"]: r["kept_text"] for r in state.drop_lines(frame(first)).collect()}
+        assert got == {r["doc_id"]: r["kept_text"] for r in plain.drop_lines(frame(first)).collect()}
+
+
+def test_cuckoo_filter():
+    pairs = halves([digest(str(i).encode()) for i in range(4000)])
+    own = CuckooFilter.sized(2000)
+    assert own.add(pairs[:2000]) and own.holds(pairs[:2000]).all() and not own.holds(pairs[2000:]).any()
+    own.remove(pairs[:1000])
+    own = CuckooFilter.loads(own.dumps())
+    assert not own.holds(pairs[:1000]).any() and own.holds(pairs[1000:2000]).all()
+    assert not CuckooFilter.sized(4).add(pairs)
+
+
+def test_bin_plan_is_full_and_whole():
+    rng = random.Random(3)
+    counts = Counter(rng.randint(1, 60) for _ in range(900))
+    plan = bin_plan(counts, 64)
+    assert all(sum(lengths) <= 64 for _, lengths in plan)
+    used = Counter()
+    for times, lengths in plan:
+        for n in lengths:
+            used[n] += times
+    assert used == counts
+    assert sum(t for t, _ in plan) <= -(-sum(k * n for k, n in counts.items()) // 64) + 1
+    assert bin_plan({}, 64) == [] and cut(5, 4) == [(0, 1), (1, 4)] and cut(4, 4) == [(0, 4)]
+
+
+def test_packing_round_trip(spark):
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(tokenizer_file())
+    own.encode_special_tokens = True
+    ids = {d: np.array([*own.encode(t or "", add_special_tokens=False).ids, 0], "<u4") for d, t in texts(spark).items()}
+    rows = pack(documents(spark), tokenizer_file()).collect()
+    seen = {}
+    for r in rows:
+        part = ids[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+        assert len(part) == r["length"] and zlib.crc32(part.tobytes()) == r["ids_crc32"]
+        seen[r["doc_id"]] = seen.get(r["doc_id"], 0) + r["length"]
+    assert seen == {d: len(v) for d, v in ids.items()}
+    bins = {}
+    for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == bins.get(r["sequence_id"], 0)
+        bins[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(bins.values()) <= 2048 and len(bins) <= -(-sum(bins.values()) // 2048) + 1
+
+
+def test_packing_of_hard_rows(spark):
+    got = pack(hard(spark), tokenizer_file(), size=16).collect()
+    assert sum(r["piece"] == 0 for r in got) == len(HARD)
+    assert [r["length"] for r in got if r["doc_id"] in (1, 2)] == [1, 1]
+    assert pack(hard(spark, True), tokenizer_file()).count() == 0
+
+
+def plain_components(rows, size, percent):
+    def shingles(t):
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER))
+        return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else {tuple(w)} if w else set()
+
+    sets, root = {d: shingles(t) for d, t in rows}, {d: d for d, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in combinations(sorted(sets), 2):
+        shared = len(sets[a] & sets[b])
+        if shared and 100 * shared >= percent * (len(sets[a]) + len(sets[b]) - shared):
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    return {d: (len(sets[d]), find(d)) for d in sets}
+
+
+def edited(rng, base, n):
+    out = list(base)
+    for _ in range(n):
+        out[rng.randrange(len(out))] = f"e{rng.randrange(10**6)}"
+    return " ".join(out)
+
+
+@pytest.mark.parametrize("limits", [{}, {"most_points": 7, "most_shingles": 600}])
+def test_near_duplicates(spark, limits):
+    rng = random.Random(5)
+    common = [f"c{i}" for i in range(30)]
+    rows = [(d, t) for d, t in texts(spark).items()][:60]
+    for g in range(6):
+        base = [f"g{g}w{rng.randrange(500)}" for _ in range(40 + 60 * g)]
+        rows += [(1000 + 100 * g + i, edited(rng, common[: 10 * g] + base, rng.randrange(8))) for i in range(14)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in J.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size=4, percent=85, **limits).collect()}
+    assert got == plain_components(rows, 4, 85)
+
+
+def test_near_duplicates_of_hard_rows(spark):
+    got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in J.near_duplicates(hard(spark)).collect()]
+    assert len(got) == len(HARD)
+    by = {d: (n, c) for d, n, c in got}
+    assert by[1] == (0, 1) and by[3] == (0, 3) and by[4] == by[5][:1] + (4,) and by[7] == (1, 7) and by[10] == (1, 9)
+    assert J.near_duplicates(hard(spark, True)).count() == 0
+
+
+def test_tree_finds_what_all_pairs_find():
+    rng = np.random.default_rng(2)
+    centres = rng.poisson(6, (12, J.GROUPS))
+    points = np.maximum(centres[rng.integers(0, 12, 400)] + rng.integers(-1, 2, (400, J.GROUPS)), 0).astype(np.int32)
+    sizes = points.sum(1)
+    label = list(range(400))
+    for a, b in combinations(range(400), 2):
+        if np.minimum(points[a], points[b]).sum() >= J.least_shared(int(sizes[a]), int(sizes[b]), 85) and label[a] != label[b]:
+            old, new = label[b], label[a]
+            label = [new if x == old else x for x in label]
+    links = J.Links(400)
+    for a, b in J.join_points(points, 85):
+        links.link(a, b)
+    assert {frozenset(np.flatnonzero(links.label == x)) for x in links.label} == {frozenset(np.flatnonzero(np.array(label) == x)) for x in label}
+
+
+def test_components(spark):
+    rng = random.Random(1)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 460)] + [(None, 3), (5, 5)]
+    got = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long"), "test").collect()}
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and a != b:
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    assert got == {x: find(x) for x in root}
+
+
+def test_benchmark_search_equals_brute_force(spark):
+    docs, items = texts(spark), {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    rng = random.Random(4)
+    for k, (i, t) in enumerate(sorted(items.items())[:20]):  # edited passages inside long texts, near the threshold
+        words = t.split()
+        words[rng.randrange(len(words))] = "changed"
+        docs[10_000 + k] = " ".join([*(f"f{x}" for x in range(rng.randrange(400))), *words, *(f"g{x}" for x in range(3000))])
+    sets = {i: set(decontaminate.shingle_sets([t], 5)[0].tolist()) for i, t in items.items()}
+    own = {d: set(decontaminate.shingle_sets([t or ""], 5)[0].tolist()) for d, t in docs.items()}
+    expected = {(d, i) for d, s in own.items() for i, q in sets.items() if q and len(q & s) >= 0.8 * len(q)}
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    for block in (5000, 7):
+        assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find_items(frame, bench, block_items=block).collect()} == expected
+
+
+def test_benchmark_search_of_hard_rows(spark):
+    items = spark.createDataFrame([(1, "one line"), (2, None), (3, ""), (None, "a b c"), (5, "word " * 40)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_items(hard(spark), items).collect()}
+    assert got == {(4, 1), (5, 1), (None, 1), (9, None), (10, None), (7, 5)}
+    assert decontaminate.find_items(hard(spark, True), items).count() == 0
+    assert decontaminate.find_items(hard(spark), items.limit(0)).count() == 0
+
+
+def test_license_scan_against_plain_scan(spark):
+    rows = [*texts(spark).items(), (9001, "MIT  license, mit LICENSE. The Apache-License"), (9002, "x\n\nPermission is granted, free of charge, to any person\nobtaining a copy of this software and associated documentation"),
+            (9003, "mit\x00license"), (9004, "mitlicense é-mit license"), (9005, None), (9006, "ALL RIGHTS RESERVED")]
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for d, t in rows:
+        words = licenses.words(t or "")
+        starts = [(i, label) for p, label in licenses.BASE.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
+        labels = {label for label, text in licenses.TEMPLATES for b in licenses.blocks(t or "") if 10 * len(set(licenses.words(text)) & set(licenses.words(b))) >= 8 * len(set(licenses.words(text)))}
+        r = got[d]
+        assert (r["n_words"], r["n_base"]) == (len(words), len(starts))
+        assert (r["first_word"], r["last_word"]) == (min((s for s, _ in starts), default=None), max((s for s, _ in starts), default=None))
+        assert r["base_labels"] == ",".join(sorted({x for _, x in starts})) and r["labels"] == ",".join(sorted({x for _, x in starts} | labels))
+        assert 0 <= r["score"] <= 1
+    assert got[9001]["n_base"] == 3 and "mit" in got[9002]["labels"] and got[9006]["labels"] == "rights-reserved"
+    assert licenses.scan(hard(spark)).count() == len(HARD) and licenses.scan(hard(spark, True)).count() == 0
+
+
+def luhn(digits):
+    return sum(int(d) if i % 2 == 0 else (2 * int(d) - 9 if int(d) > 4 else 2 * int(d)) for i, d in enumerate(reversed(digits))) % 10 == 0
+
+
+def test_pseudonyms_keep_formats(spark):
+    rows = [(1, "card 4111 1111 1111 1111, again 4111 1111 1111 1111; on 2024-02-29 and 31.12.1999, not 2023-02-30."), (2, "Call +1 (555) 010-9999 or 10.0.0.255; 4111 1111 1111 1111!"),
+            (3, "123-45-6789 token = \"0123456789abcdef0123\" é.b@mail.example.org"), (4, "nothing 12 here"), (5, None), (6, ""), (7, "999.1.1.1")]
+    got = {r["doc_id"]: r for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    cards = re.findall(r"\d{4} \d{4} \d{4} \d{4}", got[1]["text"] + got[2]["text"])
+    assert len(cards) == 3 and len(set(cards)) == 1 and cards[0] != "4111 1111 1111 1111" and luhn(cards[0].replace(" ", ""))
+    assert "2023-02-30" in got[1]["text"] and "2024-02-29" not in got[1]["text"] and "31.12.1999" not in got[1]["text"]
+    assert re.search(r"on \d{4}-\d\d-\d\d and \d\d\.\d\d\.\d{4}, not", got[1]["text"]) and got[1]["n_found"] == 4
+    assert re.search(r"Call \+\d \(\d{3}\) \d{3}-\d{4} or \d+\.\d+\.\d+\.\d+;", got[2]["text"]) and "10.0.0.255" not in got[2]["text"]
+    assert "123-45-6789" not in got[3]["text"] and "0123456789abcdef" not in got[3]["text"] and "mail.example.org" not in got[3]["text"]
+    assert got[3]["kinds"] == "email,ssn,token" and got[4]["text"] == rows[3][1] and got[5]["text"] is None and got[6]["text"] == "" and got[7]["text"] == "999.1.1.1"
+
+
+def test_pseudonyms_are_permutations(spark):
+    numbers = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d"))
+    assert numbers.select(pii.permuted_digits(F.col("d"), "k", "t").alias("p")).where("p rlike '^[0-9]{3}$'").distinct().count() == 1000
+    days = spark.range(0, 146097, 37).select(F.date_format(F.date_add(F.lit(pii.DATE_FROM).cast("date"), F.col("id").cast("int")), "dd.MM.yyyy").alias("d"))
+    valid, new = pii.permuted_date(F.col("d"), "k")
+    out = days.select(valid.alias("ok"), new.alias("p"))
+    assert out.where("ok").select("p").distinct().count() == days.count()
+    assert pii.pseudonymise(hard(spark), "k").count() == len(HARD) and pii.pseudonymise(hard(spark, True), "k").count() == 0
+
+
+def held_out_rows(spark, name, label):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    return QUERIES[name](spark, "/root/testdata/sf0.01").join(labels, "doc_id").where(F.col("held_out") & F.col(label).isNotNull()).collect()
+
+
+def test_quality_held_out(spark):
+    rows = held_out_rows(spark, "op1_subword_quality", "quality")
+    assert np.mean([r["predicted"] == r["quality"] for r in rows]) > 0.95 and all(r["predicted"] == (r["score"] >= 0.3) for r in rows)
+
+
+def test_toxicity_held_out(spark):
+    rows = held_out_rows(spark, "op6_weak_toxicity", "toxic")
+    hits = [r["toxic"] for r in rows if r["predicted"]]
+    assert len(rows) > 40 and np.mean([r["predicted"] == r["toxic"] for r in rows]) > 0.9 and (not hits or np.mean(hits) > 0.6)
+
+
+def test_label_model_weighs_voters():
+    rng = np.random.default_rng(0)
+    y = rng.random(4000) < 0.3
+    good = [np.where(rng.random(4000) < 0.9, np.where(y, 1, -1), 0) for _ in range(3)]
+    noise = np.where(rng.random(4000) < 0.5, 1, -1)
+    votes = np.stack([*good, noise, noise], 1)
+    model = toxicity.LabelModel.fit(votes, 0.3)
+    assert np.mean((model.posteriors(votes) > 0.5) == y) > 0.97
+    assert model.discount[3] < 0.75 < model.discount[0] + 0.2
+
+
+def test_language_held_out(spark):
+    rows = QUERIES["op9_compression_language"](spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in rows]) > 0.97
+
+
+def test_language_rejects(spark):
+    models = language.fit(documents(spark))
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(hard(spark), models).collect()}
+    assert got[1] == got[2] == got[3] == "und" and got[4] != "und"
+    strict = language.predict(hard(spark), models, least_margin=0.9).collect()
+    assert {r["lang_pred"] for r in strict} == {"und"}
+    assert language.predict(hard(spark, True), models).count() == 0 and {r["lang_pred"] for r in language.predict(hard(spark), language.fit(hard(spark, True))).collect()} == {"und"}
+
+
+def test_classifiers_without_labels_and_on_hard_rows(spark):
+    model = quality.fit(hard(spark), empty_labels(spark))
+    rows = quality.score(hard(spark), model).collect()
+    assert len(rows) == len(HARD) and all(r["score"] == 0.5 for r in rows)
+    tox, _ = toxicity.fit(hard(spark), empty_labels(spark))
+    assert all(0 <= r["score"] < 0.5 for r in toxicity.score(hard(spark), tox).collect())
+    assert toxicity.without_toxic(hard(spark), tox).count() == len(HARD)
+    one = spark.createDataFrame([(4, 1, 1), (9, 1, 1), (9, None, None)], "doc_id long, quality int, toxic int")
+    assert quality.score(hard(spark), quality.fit(hard(spark), one)).count() == len(HARD)
+    assert toxicity.score(hard(spark), toxicity.fit(hard(spark), one)[0]).count() == len(HARD)
+    for score, own in ((quality.score, model), (toxicity.score, tox)):
+        assert score(hard(spark, True), own).count() == 0
+
+
+def test_pipeline_stages_against_plain_ones(spark):
+    import corpus_pipeline as P
+
+    docs = documents(spark)
+    kept = {}
+    for name, stage in P.STAGES:
+        before = docs
+        docs = stage(spark, docs, SF)
+        docs.write.mode("overwrite").parquet(path := f"{spark.conf.get('spark.checkpoint.dir')}/stage-{len(kept)}")
+        docs = spark.read.parquet(path)
+        kept[name] = docs
+        if name != P.STAGES[-1][0]:
+            assert docs.columns == before.columns
+    lines = dict(kept["toxicity"].select("doc_id", "text").collect())
+    plain = dict(zip(lines, (t for _, t in plain_lines(list(lines.values()), 10)), strict=True))
+    after = {r["doc_id"]: (r["text"], r["n_chars"]) for r in kept["line dedup"].collect()}
+    assert after == {d: (t, len(t)) for d, t in plain.items()}
+    groups = plain_components(list(plain.items()), 5, 80)
+    near = {r["doc_id"] for r in kept["n-gram Jaccard join"].collect()}
+    assert near == {d for d, (_, c) in groups.items() if c == d}
+    items = [set(s.tolist()) for s in decontaminate.shingle_sets([r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()], 5)]
+    own = {d: set(decontaminate.shingle_sets([plain[d]], 5)[0].tolist()) for d in near}
+    clean = {d for d, s in own.items() if not any(len(q & s) >= 0.8 * len(q) for q in items)}
+    assert {r["doc_id"] for r in kept["benchmark decontamination"].collect()} == clean == {r["doc_id"] for r in docs.collect()}
+
+
+def test_every_oracle_has_a_query():
+    assert set(ORACLES) <= set(QUERIES) and len(QUERIES) == 10
