@@ -48,7 +48,7 @@ _RUN = (
 )
 TOKEN = (
     rf"[\p{{IsHan}}\p{{IsHiragana}}][{_EXTEND}]*+"
-    rf"|\p{{Pc}}{{0,255}}+{_RUN}++(?:\p{{Pc}}++{_RUN}++)*+\p{{Pc}}*+"
+    rf"|(?<!\p{{Pc}})\p{{Pc}}*+{_RUN}++(?:\p{{Pc}}++{_RUN}++)*+\p{{Pc}}*+"
 )
 
 # Runs of word characters and runs of anything else; together they spell the

@@ -141,9 +141,8 @@ def find_phrases(
     """(ids, field, gram, pos) for every position where a phrase starts.
 
     With ``context`` the plain words from ``context`` words before to
-    ``context`` words after the match come along as ``snippet``. When the phrases
-    are too many to broadcast, rows whose gram is no phrase's may remain; joining
-    the terms drops them.
+    ``context`` words after the match come along as ``snippet``. The rows are
+    the same whether the phrases are broadcast or not.
     """
     leads = phrases.rows.groupBy("field", "lead").agg(
         F.collect_set(F.struct("shape", "offsets")).alias("shapes"),
@@ -183,10 +182,10 @@ def find_phrases(
         F.array_join(F.slice("words", F.lit(1), length), " ").alias("snippet")
     ]
     found = tried.select(*ids, "field", "pos", gram, *snippet)
+    grams = phrases.rows.select("field", "gram").distinct()
     if phrases.small:
-        grams = phrases.rows.select("field", "gram").distinct()
-        found = found.join(F.broadcast(grams), ["field", "gram"], "left_semi")
-    return found
+        return found.join(F.broadcast(grams), ["field", "gram"], "left_semi")
+    return salted_join(found, grams, ["field", "gram"], [*ids, "pos"], "left_semi")
 
 
 def count_phrases(analyzed: DataFrame, phrases: Phrases, ids: Sequence[str] = ("docid",)) -> DataFrame:
