@@ -239,7 +239,7 @@ def collected(texts: DataFrame, least_texts: int = 4) -> Sample:
     vocabulary = vocabulary[times >= least_texts]
     rows = [at[vocabulary[at] == w] for w in own if len(vocabulary) for at in [np.minimum(np.searchsorted(vocabulary, w), len(vocabulary) - 1)]]
     return Sample(
-        np.array([r["y"] for r in found], int), np.array([r["mark"] for r in found], np.int64), np.array([r["votes"] for r in found], np.int64).reshape(len(found), -1),
+        np.array([r["y"] for r in found], int), np.array([r["mark"] for r in found], np.int64), np.array([r["votes"] for r in found], np.int64).reshape(len(found), len(GENERAL) + len(PATTERNS)),
         rows if len(vocabulary) else [np.zeros(0, int)] * len(own), vocabulary)
 
 
