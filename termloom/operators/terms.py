@@ -83,7 +83,7 @@ def unregister_queries(stored_queries: DataFrame, doomed: DataFrame) -> DataFram
 
 def unregister_dictionary(stored_queries: DataFrame, dictionaries: DataFrame, name: str) -> DataFrame:
     dict_id, _ = resolve(dictionaries, name)
-    return stored_queries.where(F.col("dict_id") != dict_id)
+    return stored_queries.where(~F.col("dict_id").eqNullSafe(dict_id))
 
 
 def missing_queries(stored_queries: DataFrame, dict_terms: DataFrame) -> DataFrame:
@@ -173,7 +173,7 @@ def remove_dictionary(tables: Tables, name: str) -> Tables:
     meta = tables.subset_meta
     if meta is not None:
         subsets = [f"{name}_{nlp_type}" for nlp_type in NLP_TYPES]
-        meta = meta.where(~((F.col("dict_id") == dict_id) & F.col("subset_name").isin(subsets)))
+        meta = meta.where(~(F.col("dict_id").eqNullSafe(dict_id) & F.coalesce(F.col("subset_name").isin(subsets), F.lit(False))))
     return replace(
-        rest, dictionaries=tables.dictionaries.where(F.col("dict_id") != dict_id), subset_meta=meta
+        rest, dictionaries=tables.dictionaries.where(~F.col("dict_id").eqNullSafe(dict_id)), subset_meta=meta
     )
