@@ -204,9 +204,10 @@ CATALOG = f"""SELECT s_suppkey::INTEGER AS dict_id, s_name AS name, 'lists/' ||
     strftime(TIMESTAMP '2020-01-01' + to_days(s_suppkey::INTEGER), '%Y-%m-%d %H:%M:%S') AS last_updated
     FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
 
-SPOKEN = r"""SELECT (conv_id % 10)::INTEGER AS dict_id, ws[1] AS term,
-    CASE WHEN role = 'user' THEN ws[2:2] ELSE []::VARCHAR[] END AS classification, role
-    FROM (SELECT conv_id, role, regexp_extract_all(text, '[\p{L}\p{N}]+') AS ws FROM conversations) WHERE len(ws) > 0"""
+SPOKEN = r"""SELECT (conv_id % 10)::INTEGER AS dict_id, array_to_string(ws[i : i + 1], ' ') AS term,
+    CASE WHEN role = 'user' THEN ws[i + 2 : i + 2] ELSE []::VARCHAR[] END AS classification, role
+    FROM (SELECT *, unnest(range(1, greatest(len(ws), 2))) AS i FROM (SELECT conv_id, role,
+    regexp_extract_all(text, '[\p{L}\p{N}]+') AS ws FROM conversations) WHERE len(ws) > 0)"""
 
 SPOKEN_TERMS = f"""SELECT t.dict_id, t.term, max(t.classification) AS classification, c.field
     FROM (SELECT DISTINCT dict_id, term, classification FROM ({SPOKEN})) t JOIN ({CATALOG}) c USING (dict_id)
@@ -221,6 +222,7 @@ LINES = """SELECT p_name || '/' || p_type AS term, l_orderkey AS docid, l_quanti
     FROM lineitem JOIN part ON l_partkey = p_partkey"""
 
 OLD_SAID = f"SELECT DISTINCT dict_id, term, classification FROM ({SPOKEN}) WHERE role = 'user'"
+OLD_AND_NEW_SAID = f"SELECT DISTINCT dict_id, term, classification FROM ({SPOKEN})"
 NEW_SAID = f"SELECT DISTINCT term, classification FROM ({SPOKEN}) WHERE role = 'assistant'"
 SAID = f"WITH old AS ({OLD_SAID}), new AS ({NEW_SAID}), own AS (SELECT * FROM old WHERE dict_id = 3)"
 
@@ -257,7 +259,7 @@ def subset(nlp_type: str, docs: str) -> str:
     return f"SELECT docid, sentid FROM ({sentences(nlp_type)}) WHERE docid IN ({docs})"
 
 
-WORD = r"[^\p{L}\p{N}_]"
+WORD = r"[^\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}]"
 SENTENCE_TEST = rf"contains(lower(line), lower(term)) AND regexp_matches(line, '(^|{WORD})(?i:' || regexp_escape(term) || ')($|{WORD})')"
 
 _LIVE = """live AS (SELECT dict_id, term, count(DISTINCT docid) AS n_live FROM found GROUP BY ALL),
@@ -268,7 +270,16 @@ BOTH = f"WITH {match_ctes(FIXTURE, DOCS, FIELDS)}, {match_ctes(FIXTURE, RECENT,
 SPOKEN_BOTH = f"WITH {match_ctes(SPOKEN_TERMS, DOCS, FIELDS)}, {match_ctes(SPOKEN_TERMS, RECENT, FIELDS, 's_')}, {_LIVE}"
 
 _ID = "dict_id || '_' || replace(term, '/', '|')"
-_LOW_HASH = "substr(md5(term), 1, 2) < '1a'"
+
+
+def sampled(rows: str, below: str, limit: int, order: str) -> str:
+    """Rows of the lowest hashes, at most ``limit`` per dictionary."""
+    return (
+        f"SELECT dict_id, term FROM ({rows}) WHERE substr(md5(term), 1, 8) < '{below}' "
+        f"QUALIFY row_number() OVER (PARTITION BY dict_id ORDER BY md5(term), term, {order}) <= {limit}"
+    )
+
+
 
 ORACLES = {
     "match_no_stem": match_one(NO_STEM, 1),
@@ -348,7 +359,8 @@ ORACLES = {
         UNION ALL SELECT 'terms_docs', dict_id, term || '@' || docid FROM l
             WHERE (dict_id, term) NOT IN (SELECT (dict_id, term) FROM pair)
         UNION ALL SELECT 'terms_docs_sentences', NULL, term || '@' || docid || '@' || sentid FROM l
-            WHERE term NOT IN (SELECT term FROM pair) OR term IN (SELECT term FROM kept)""",
+            WHERE term NOT IN (SELECT term FROM pair) OR term IN (SELECT term FROM kept)
+        UNION ALL SELECT 'stored_queries', * FROM (SELECT DISTINCT dict_id, {_ID} FROM p WHERE brand <> 'Brand#17')""",
     "remove_dictionary": f"""WITH p AS ({PARTS}), l AS ({LINES}), own AS (SELECT DISTINCT term FROM p WHERE dict_id = 4),
         c AS ({CATALOG})
         SELECT 'dictionaries' AS kind, dict_id, name AS item FROM c WHERE dict_id <> 4
@@ -391,21 +403,28 @@ ORACLES = {
         WHERE coalesce(hierarchy_present, true) GROUP BY docid""",
     "percolate_stream": f"""{FOUND} SELECT term, docid, hits, hierarchy_present, dict_id, true AS from_percolation
         FROM found WHERE coalesce(hierarchy_present, true)""",
+    "fold_stream": f"""WITH {match_ctes(FIXTURE, DOCS, FIELDS)}, {match_ctes(FIXTURE, RECENT, FIELDS, 's_')},
+        streamed AS (SELECT * FROM found WHERE coalesce(hierarchy_present, true))
+        SELECT term, docid, hits, hierarchy_present, dict_id, true AS from_percolation FROM streamed
+        UNION ALL SELECT term, docid, hits, hierarchy_present, dict_id, false FROM s_found
+        ANTI JOIN streamed USING (dict_id, term, docid)""",
+    "match_kept_form": f"{FOUND_SINCE} SELECT dict_id, term, docid, hits, hierarchy_present FROM found",
     "doc_exists": """SELECT DISTINCT doc_id * 3 AS docid, doc_id * 3 IN (SELECT doc_id FROM documents) AS found FROM labels""",
     "scan_matching": "SELECT doc_id AS docid FROM documents WHERE source = 'src3' ORDER BY doc_id LIMIT 50",
-    "sample_terms_hash": f"SELECT dict_id, term FROM ({PARTS}) WHERE {_LOW_HASH}",
+    "sample_terms_hash": sampled(PARTS, "80000000", 5, "brand"),
     "unmatched_terms": f"""{SPOKEN_FOUND_SINCE} SELECT dict_id, term FROM
         (SELECT DISTINCT dict_id, term, classification FROM ({SPOKEN})) WHERE term NOT IN (SELECT term FROM found)""",
     "stored_live_counts": f"{BOTH} SELECT dict_id, term, n_stored, n_live FROM compared",
     "freshness_summary": f"""{BOTH} SELECT dict_id, count(*) FILTER (n_live <= n_stored) AS n_good,
         count(*) FILTER (n_live > n_stored) AS n_bad, bool_and(n_live <= n_stored) AS fresh FROM compared GROUP BY dict_id""",
     "health_summary": f"""{SPOKEN_BOTH},
+        picked AS ({sampled(OLD_AND_NEW_SAID, "19999999", 1000, "classification")}),
         registered AS (SELECT DISTINCT dict_id, term FROM ({SPOKEN}) WHERE len(classification) > 0),
         missing AS (SELECT dict_id, count(*) AS n_missing FROM (SELECT dict_id, term FROM terms
             WHERE term NOT IN (SELECT term FROM s_found)
             EXCEPT SELECT dict_id, term FROM registered) GROUP BY dict_id),
         checked AS (SELECT dict_id, count(*) FILTER (n_live <> n_stored) AS n_mismatched, count(*) AS n_checked
-            FROM compared WHERE {_LOW_HASH} GROUP BY dict_id)
+            FROM compared SEMI JOIN picked USING (dict_id, term) GROUP BY dict_id)
         SELECT c.dict_id, coalesce(n_missing, 0) AS n_missing, coalesce(n_mismatched, 0) AS n_mismatched,
             coalesce(n_checked, 0) AS n_checked,
             coalesce(n_missing, 0) = 0 AND coalesce(n_mismatched, 0) = 0 AS healthy

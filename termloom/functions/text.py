@@ -52,8 +52,11 @@ TOKEN = (
 )
 
 # Runs of word characters and runs of anything else; together they spell the
-# whole text, and every run border is a word boundary.
-PIECE = r"[\p{L}\p{N}_]++|[^\p{L}\p{N}_]++"
+# whole text, and every run border is a word boundary, as it is for regular
+# expressions with Unicode classes.
+_WORD = r"\p{IsAlphabetic}\p{M}\p{Nd}\p{Pc}\p{IsJoin_Control}"
+WORD_CHARACTER = f"[{_WORD}]"
+PIECE = rf"[{_WORD}]++|[^{_WORD}]++"
 
 _POSSESSIVE = "['’＇][sS]$"
 

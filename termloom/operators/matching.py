@@ -77,7 +77,12 @@ def match_queries(
     does not occur.
     """
     keys = list(keys)
-    if analyzed is None:
+    if analyzed is not None:
+        # There are four forms at most.
+        forms = {row["field"] for row in analyzed.select("field").distinct().collect()}
+        if forms and not forms.issuperset(phrases.fields):
+            raise ValueError(f"analyzed documents lack {sorted(set(phrases.fields) - forms)}")
+    else:
         analyzed = phrase.analyze_documents(docs, phrases.fields or [T.ENGLISH], reused=True)
     # The test is always true. It keeps the count in all three readers of the
     # counts, so that their shuffles are the same and the text is read once.
@@ -124,9 +129,14 @@ def match_terms_to_docs(
 
     A term with several classifications has one row per document; its greatest
     classification decides the flag.
+
+    ``analyzed`` is a stored table of ``analyze_documents`` to be read instead of
+    the texts. It must hold every form that the dictionaries ask for and, for a
+    ``from_date``, the documents' ``time``.
     """
     if from_date is not None:
         docs = docs.where(since(from_date))
+        analyzed = None if analyzed is None else analyzed.where(since(from_date))
     one_each = dict_terms.groupBy("dict_id", "term").agg(F.max("classification").alias("classification"))
     phrases = compile_queries(with_field(one_each, dictionaries), broadcast_bytes=broadcast_bytes)
     rows = match_queries(docs, phrases, analyzed=analyzed)

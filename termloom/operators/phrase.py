@@ -36,8 +36,9 @@ def analyze_documents(
     stop_words: Sequence[str] = T.STOP_WORDS,
     keep_words: bool = False,
     reused: bool = False,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
-    """(ids, field, toks): the searchable tokens of each document and field.
+    """(ids, carried, field, toks): the searchable tokens of each document and field.
 
     The result may be written to a table and matched many times. With
     ``keep_words`` the plain words are kept next to the tokens.
@@ -47,18 +48,18 @@ def analyze_documents(
     are then shuffled once and both of their readers share that shuffle.
     """
     keys = [F.xxhash64(*ids)] if reused else ids
-    docs = docs.select(*ids, F.col(text).alias("_text"))
+    docs = docs.select(*ids, *carried, F.col(text).alias("_text"))
     for name in ids:
         docs = docs.where(F.col(name).isNotNull())
     docs = spread(docs, *keys)
     lower_only = all(T.is_lower(field) for field in fields) and not keep_words
     source = "lower(_text)" if lower_only else "_text"
-    docs = docs.select(*ids, T.tokenize(source).alias("words"))
+    docs = docs.select(*ids, *carried, T.tokenize(source).alias("words"))
     lowered = "words"
     if not lower_only and any(T.is_lower(field) for field in fields):
         docs = docs.withColumn("lowered", F.expr(T.lower_tokens_sql("words")))
         lowered = "lowered"
-    carried = ["words"] if keep_words else []
+    carried = [*carried, "words"] if keep_words else carried
     forms = [(field, T.searchable_sql(field, "words", lowered, stop_words)) for field in fields]
     if len(forms) == 1:
         field, toks = forms[0]

@@ -103,23 +103,40 @@ def delete_terms(tables: Tables, doomed: DataFrame, whole_terms: bool = False) -
 
     Matches go for (dict_id, term). Sentence rows have no dictionary, so they
     stay while another dictionary holds the term. ``whole_terms`` takes every
-    classification of a term.
+    classification of a term; otherwise a stored query that was there is made again
+    from the classifications that stay.
     """
     keys = ["dict_id", "term"]
     terms = doomed.select(*keys).distinct()
     lost = terms.select("term").distinct().join(held_elsewhere(tables.dict_terms, terms), "term", "left_anti")
+    rest = delete_rows(tables.dict_terms, doomed, keys if whole_terms else [*keys, "classification"])
+    stored = unregister_queries(tables.stored_queries, terms)
+    if not whole_terms:
+        ids = terms.select(S.query_id(F.col("dict_id"), F.col("term")).alias("id"))
+        dropped = tables.stored_queries.join(ids, "id", "left_semi").select("id")
+        staying = rest.withColumn("id", S.query_id(F.col("dict_id"), F.col("term")))
+        staying = staying.join(dropped, "id", "left_semi").drop("id")
+        stored = register_queries(stored, staying, tables.dictionaries)
     return replace(
         tables,
-        dict_terms=delete_rows(tables.dict_terms, doomed, keys if whole_terms else [*keys, "classification"]),
+        dict_terms=rest,
         terms_docs=delete_rows(tables.terms_docs, terms, keys),
         terms_docs_sentences=delete_rows(tables.terms_docs_sentences, lost, ["term"]),
-        stored_queries=unregister_queries(tables.stored_queries, terms),
+        stored_queries=stored,
     )
 
 
 def _own_terms(tables: Tables, dict_id: int) -> DataFrame:
+    """A dictionary's terms as compared, and as ``stored``."""
     rows = tables.dict_terms.where(F.col("dict_id") == dict_id)
-    return rows.select(F.trim("term").alias("term"), "classification")
+    return rows.select(S.strip(F.col("term")).alias("term"), "classification", F.col("term").alias("stored"))
+
+
+def _as_stored(existing: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``gone`` in the spelling under which they are stored."""
+    keys = gone.columns
+    rows = existing.join(gone, keys, "left_semi").withColumn("term", F.col("stored"))
+    return rows.select(*keys).distinct()
 
 
 def _add_pairs(tables: Tables, pairs: DataFrame, dict_id: int, as_of: dt.datetime | None) -> Tables:
@@ -141,9 +158,10 @@ def ingest(
     """
     incoming = incoming_pairs(terms)
     existing = _own_terms(tables, dict_id)
-    gone = terms_to_remove(existing, incoming)
+    gone = _as_stored(existing, terms_to_remove(existing, incoming))
     if update:
-        gone = gone.unionByName(incoming.select("term").distinct())
+        again = incoming.select("term").distinct()
+        gone = gone.unionByName(_as_stored(existing, again)).unionByName(again)
         new = incoming
     else:
         new = incoming.join(terms_to_add(existing, incoming), "term", "left_semi")
@@ -159,7 +177,7 @@ def update(tables: Tables, dict_id: int, terms: DataFrame, as_of: dt.datetime |
     """
     incoming = incoming_pairs(terms)
     existing = _own_terms(tables, dict_id)
-    gone = pairs_to_remove(existing, incoming)
+    gone = _as_stored(existing, pairs_to_remove(existing, incoming))
     new = pairs_to_add(existing, incoming)
     doomed = gone.select(F.lit(dict_id).cast("int").alias("dict_id"), *PAIR)
     return _add_pairs(delete_terms(tables, doomed), new, dict_id, as_of)

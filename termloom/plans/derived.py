@@ -99,22 +99,23 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spoken_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(dict_id, term, classification, role): how the turns of conversations begin.
+    """(dict_id, term, classification, role): the pairs of neighbouring words of all turns.
 
-    The term is the first word of a turn; a user's second word classifies it.
+    A turn of one word gives that word. The word after a user's pair classifies it.
     """
     words = F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}]+"), F.lit(0)).alias("words")
     words = read(spark, sf_dir, "conversations").select("conv_id", "role", words)
-    other = F.when(F.col("role") == "user", F.slice("words", 2, 1)).otherwise(
+    last = F.greatest(F.size("words") - 1, F.lit(1))
+    starts = words.where(F.size("words") > 0).withColumn("at", F.explode(F.sequence(F.lit(1), last)))
+    other = F.when(F.col("role") == "user", F.slice("words", F.col("at") + 2, 1)).otherwise(
         F.array().cast("array<string>")
     )
-    rows = words.select(
+    return starts.select(
         (F.col("conv_id") % 10).cast("int").alias("dict_id"),
-        F.get("words", F.lit(0)).alias("term"),
+        F.array_join(F.slice("words", F.col("at"), 2), " ").alias("term"),
         other.alias("classification"),
         "role",
     )
-    return rows.where(F.length("term") > 0)
 
 
 def spoken_dict_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,7 +189,7 @@ def part_tables(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def spoken_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """Dictionaries whose stored terms are what users say first."""
+    """Dictionaries whose stored terms are what users say."""
     said = spoken_terms(spark, sf_dir).where(F.col("role") == "user")
     stored = said.select("dict_id", "term", "classification").distinct()
     return Tables(
@@ -201,6 +202,6 @@ def spoken_tables(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def answered_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(term, classification): a new source, what assistants say first."""
+    """(term, classification): a new source, what assistants say."""
     said = spoken_terms(spark, sf_dir).where(F.col("role") == "assistant")
     return said.select("term", "classification")

@@ -7,6 +7,7 @@ timestamps are shown as text, so that engines can be compared value by value.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -265,18 +266,20 @@ def _rest(tables_: Tables, *kinds: str) -> DataFrame:
     return out
 
 
+def _registered(tables_: Tables) -> Tables:
+    stored = terms.register_queries(tables_.stored_queries, tables_.dict_terms, tables_.dictionaries)
+    return replace(tables_, stored_queries=stored)
+
+
 def delete_term(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delete all terms of one brand from its dictionaries."""
     doomed = derived.part_terms(spark, sf_dir).where(F.col("brand") == "Brand#17")
-    rest = terms.delete_terms(derived.part_tables(spark, sf_dir), doomed)
-    return _rest(rest, "dict_terms", "terms_docs", "terms_docs_sentences")
+    rest = terms.delete_terms(_registered(derived.part_tables(spark, sf_dir)), doomed)
+    return _rest(rest, "dict_terms", "terms_docs", "terms_docs_sentences", "stored_queries")
 
 
 def remove_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    before = derived.part_tables(spark, sf_dir)
-    stored = terms.register_queries(before.stored_queries, before.dict_terms, before.dictionaries)
-    before = Tables(**{**before.__dict__, "stored_queries": stored})
-    rest = terms.remove_dictionary(before, "supplier#000000004")
+    rest = terms.remove_dictionary(_registered(derived.part_tables(spark, sf_dir)), "supplier#000000004")
     return _rest(
         rest, "dictionaries", "dict_terms", "terms_docs", "terms_docs_sentences", "stored_queries", "subset_meta"
     )
@@ -381,8 +384,8 @@ def percolate_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.matching_ids(P.percolate(derived.articles(spark, sf_dir), stored)).select("docid", _list("ids"))
 
 
-def percolate_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as a stream of files."""
+def _streamed(spark: SparkSession, sf_dir: str) -> str:
+    """All documents as a stream of files; the log of their matches."""
     schema = derived.read(spark, sf_dir, "documents").schema
     arriving = (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000)
@@ -393,12 +396,36 @@ def percolate_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     P.percolate_stream(
         arriving, _fixture_queries(spark), log, scratch_path(spark, "offsets"), AS_OF
     ).awaitTermination()
+    return log
+
+
+_PERCOLATED = ["term", "docid", "hits", "hierarchy_present", "dict_id", "from_percolation"]
+
+
+def percolate_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = spark.createDataFrame(
         [], "term string, docid long, hits int, last_updated timestamp, hierarchy_present boolean, "
         "dict_id int, from_percolation boolean",
     ).schema
-    rows = P.read_log(spark, log, stored)
-    return rows.select("term", "docid", "hits", "hierarchy_present", "dict_id", "from_percolation")
+    return P.read_log(spark, _streamed(spark, sf_dir), stored).select(*_PERCOLATED)
+
+
+def fold_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of a stream brought into the matches stored since a date."""
+    stored = _fixture_matches(spark, sf_dir, SINCE)
+    return P.fold_log(stored, _streamed(spark, sf_dir)).select(*_PERCOLATED)
+
+
+def match_kept_form(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches since a date from analysed documents that were written before."""
+    docs = derived.articles(spark, sf_dir)
+    kept = scratch_path(spark, "analyzed")
+    phrase.analyze_documents(docs, T.FIELDS, carried=["time"]).write.partitionBy("field").parquet(kept)
+    rows = matching.match_terms_to_docs(
+        derived.fixture_terms(spark), derived.fixture_dictionaries(spark), docs, AS_OF, SINCE,
+        analyzed=spark.read.parquet(kept),
+    )
+    return rows.select("dict_id", "term", "docid", "hits", "hierarchy_present")
 
 
 # Lookups and quality
@@ -416,7 +443,9 @@ def scan_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_terms_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.sample_terms_by_hash(derived.part_dict_terms(spark, sf_dir)).select("dict_id", "term")
+    """Half of the terms, at most five of a dictionary."""
+    rows = quality.sample_terms(derived.part_dict_terms(spark, sf_dir), 0.5, 5, by_hash=True)
+    return rows.select("dict_id", "term")
 
 
 def unmatched_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -443,7 +472,7 @@ def health_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = terms.register_queries(derived.no_stored_queries(spark), registered, dictionaries)
     return quality.health_check(
         derived.articles(spark, sf_dir), own, dictionaries, _spoken_matches(spark, sf_dir, SINCE),
-        stored, quality.sample_terms_by_hash(own),
+        stored, quality.sample_terms(own, by_hash=True),
     )
 
 
@@ -499,6 +528,8 @@ QUERIES = {
     "unregister_queries": unregister_queries,
     "percolate_batch": percolate_batch,
     "percolate_stream": percolate_stream,
+    "fold_stream": fold_stream,
+    "match_kept_form": match_kept_form,
     "doc_exists": doc_exists,
     "scan_matching": scan_matching,
     "sample_terms_hash": sample_terms_hash,

@@ -4,9 +4,12 @@ import datetime as dt
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from termloom import schemas
+from termloom.functions import text as T
+from termloom.operators import phrase
 from termloom.operators.matching import catch_up, instant, match_terms_to_docs
 from termloom.plans import derived
 
@@ -144,3 +147,22 @@ def test_literal_times_are_in_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert tuple(shown) == ("2024-01-01 00:00:00",) * 2
     assert zoned[0] == "2023-12-31 19:00:00"
+
+
+def test_kept_forms_honour_the_date(spark):
+    day = dt.datetime(2020, 6, 1, 8)
+    docs = spark.createDataFrame(
+        [("a", "shale", dt.datetime(2019, 1, 1)), ("b", "shale", day), ("c", "shale", None)],
+        "docid string, contents string, time timestamp",
+    )
+    dict_terms = spark.createDataFrame([(1, "shale", [], None)], schemas.DICT_TERMS)
+    dictionaries = derived.fixture_dictionaries(spark)
+    kept = phrase.analyze_documents(docs, [T.NO_STEM], carried=["time"]).cache()
+
+    def docids(**how):
+        return [r[0] for r in rows(match_terms_to_docs(dict_terms, dictionaries, docs, **how).select("docid"))]
+
+    assert docids(from_date=day) == docids(from_date=day, analyzed=kept) == ["b"]
+    assert docids(analyzed=kept) == ["a", "b", "c"]
+    with pytest.raises(ValueError, match="lack"):
+        docids(analyzed=kept.withColumn("field", F.lit(T.ENGLISH)))

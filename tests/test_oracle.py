@@ -5,7 +5,8 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from oracle_queries import ORACLES
+from termloom.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -24,13 +25,13 @@ def engine():
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, engine, name):
-    df = contract.queries()[name](spark, SF)
-    cursor = engine.execute(contract.oracle_sql()[name])
+    df = QUERIES[name](spark, SF)
+    cursor = engine.execute(ORACLES[name])
     types = {column[0]: str(column[1]) for column in cursor.description}
     assert {f.name: TYPES[f.dataType.simpleString()] for f in df.schema} == types
     expected = sorted((tuple(row) for row in cursor.fetchall()), key=repr)

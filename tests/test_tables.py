@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -236,3 +237,21 @@ def test_lookups_of_documents(spark):
     assert rows(scan_matching(docs, F.col("docid") > "a")) == [("b",), ("c",)]
     assert rows(scan_matching(docs, F.col("docid") > "a", 1)) == [("b",)]
     assert corpus_name("public", "t") == corpus_name(None, "t") == "t" and corpus_name("x", "t") == "x.t"
+
+
+def test_a_stored_query_stays_while_a_classification_does(spark, tables):
+    entries = [(1, "x", ["a"], None), (1, "x", ["b"], None), (1, "y", ["a"], None)]
+    own = spark.createDataFrame(entries, schemas.DICT_TERMS)
+    stored = terms.register_queries(tables.stored_queries.limit(0), own, tables.dictionaries)
+    before = replace(tables, dict_terms=own, stored_queries=stored)
+    doomed = spark.createDataFrame([(1, "x", ["b"]), (1, "y", ["a"])], "dict_id int, term string, classification array<string>")
+    after = terms.delete_terms(before, doomed)
+    assert rows(after.stored_queries.select("id", "classification")) == [("1_x", ("a",))]
+
+
+@pytest.mark.parametrize("change", [terms.ingest, terms.update])
+def test_padded_stored_terms_leave(spark, tables, change):
+    own = spark.createDataFrame([(1, " x", [], None), (1, "\tz", [], None)], schemas.DICT_TERMS)
+    incoming = spark.createDataFrame([("y", []), ("z", [])], "term string, classification array<string>")
+    after = change(replace(tables, dict_terms=own), 1, incoming)
+    assert rows(after.dict_terms.select("term")) == [("\tz",), ("y",)]
