@@ -17,6 +17,9 @@ BROADCAST_ROWS = 2_000_000
 # Below this many input bytes per core a scan is spread over all cores.
 SPREAD_BYTES = 8 * 1024 * 1024
 
+# Bits of a key filter: 4096 bitmaps of 4 KB, whatever the number of keys.
+FILTER_BITS = 4096 * 32768
+
 # Copies of the small side when a hot key of the big side is split.
 SALTS = 16
 
@@ -53,6 +56,27 @@ def spread_batch(batch: DataFrame, *keys: str | Column) -> DataFrame:
     return batch if batch.rdd.getNumPartitions() >= cores else batch.repartition(2 * cores, *keys)
 
 
+def _place(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS))
+
+
+def maybe_among(rows: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` whose keys may be among those of ``known``; none that is gets lost.
+
+    The keys are hashed into bitmaps of 16 MB in all. These are broadcast, so most
+    rows that an equi-join would drop are dropped before its shuffle.
+    """
+    bitmaps = (
+        known.select(_place(keys).alias("_place"))
+        .groupBy(F.expr("cast(_place div 32768 as int)").alias("_part"))
+        .agg(F.bitmap_construct_agg(F.col("_place") % 32768).alias("_bits"))
+    )
+    placed = rows.withColumn("_place", _place(keys)).withColumn("_part", F.expr("cast(_place div 32768 as int)"))
+    byte = "cast(conv(hex(substring(_bits, cast(_place % 32768 div 8 as int) + 1, 1)), 16, 10) as int)"
+    met = placed.join(F.broadcast(bitmaps), "_part").where(F.expr(f"getbit({byte}, cast(_place % 8 as int)) = 1"))
+    return met.select(*rows.columns)
+
+
 def salted_join(
     big: DataFrame, small: DataFrame, keys: Sequence[str], salt_from: Sequence[str], how: str = "inner"
 ) -> DataFrame:

@@ -9,8 +9,11 @@ The lookup is an equality on the whole phrase, so phrases that share a frequent
 lead do not multiply candidates.
 
 While the phrases fit a checked broadcast, text never moves: only matched
-(document, gram) counts are shuffled. Beyond it the same two lookups are salted
-shuffle joins.
+(document, gram) counts are shuffled. Beyond it hashed sets of leads and grams, of
+fixed size, are broadcast instead. They pass few positions that match nothing, and
+these and the matches meet the grams in a salted shuffle join; every shape is tried
+at every lead, as the shapes are few even where phrases are many. Only with more
+than ``MAX_SHAPES`` of them leads are joined by shuffle as well.
 """
 
 from __future__ import annotations
@@ -22,11 +25,14 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from termloom.functions import text as T
-from termloom.operators.bounds import fits_broadcast, salted_join, spread
+from termloom.operators.bounds import fits_broadcast, maybe_among, salted_join, spread
 from termloom.sources.scratch import settle
 
 _SEP = "\u0001"
 
+# Shapes that are tried at every lead of a text.
+MAX_SHAPES = 512
+
 
 def analyze_documents(
     docs: DataFrame,
@@ -78,6 +84,7 @@ class Phrases:
     fields: list[str]
     longest: int
     small: bool
+    few_shapes: bool = True
 
 
 def compile_phrases(phrases: DataFrame, tokens: Column, broadcast_bytes: int | None = None) -> Phrases:
@@ -114,11 +121,19 @@ def compile_phrases(phrases: DataFrame, tokens: Column, broadcast_bytes: int | N
         )
     )
     found = seen.get
+    small = fits_broadcast(found["rows"], found["bytes"] or 0, broadcast_bytes)
+    few_shapes = True
+    if not small:
+        shapes = rows.select("field", "shape").distinct().agg(
+            F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("shape") + 64).alias("bytes")
+        ).first()
+        few_shapes = shapes["rows"] <= MAX_SHAPES and fits_broadcast(shapes["rows"], 8 * (shapes["bytes"] or 0))
     return Phrases(
         rows,
         fields=[name for name in T.FIELDS if found[name]],
         longest=found["longest"] or 1,
-        small=fits_broadcast(found["rows"], found["bytes"] or 0, broadcast_bytes),
+        small=small,
+        few_shapes=few_shapes,
     )
 
 
@@ -145,7 +160,9 @@ def find_phrases(
     ``context`` words after the match come along as ``snippet``. The rows are
     the same whether the phrases are broadcast or not.
     """
-    leads = phrases.rows.groupBy("field", "lead").agg(
+    by_lead = phrases.small or not phrases.few_shapes
+    keys = ["field", "lead"] if by_lead else ["field"]
+    leads = phrases.rows.groupBy(*keys).agg(
         F.collect_set(F.struct("shape", "offsets")).alias("shapes"),
         F.max("span").alias("lead_span"),
     )
@@ -163,18 +180,21 @@ def find_phrases(
     placed = analyzed.select(*ids, "field", "toks", *words, F.posexplode_outer("toks").alias("pos", "lead"))
     # Only slices travel past a join: a copy of the whole array per position
     # would be quadratic in the length of a document.
-    if phrases.small:
-        tried = placed.join(F.broadcast(leads), ["field", "lead"]).select(
+    if not phrases.small:
+        known = phrases.rows.select("field", "lead").distinct()
+        placed = maybe_among(placed.where(F.col("lead").isNotNull()), known, ["field", "lead"])
+    if phrases.small or phrases.few_shapes:
+        tried = placed.join(F.broadcast(leads), keys).select(
             *ids, "field", "pos", *near(F.col("lead_span")),
             F.slice("toks", F.col("pos") + 1, F.col("lead_span")).alias("toks"), "shapes",
         )
     else:
         longest = F.lit(phrases.longest)
-        placed = placed.where(F.col("lead").isNotNull()).select(
+        placed = placed.select(
             *ids, "field", "lead", "pos", *near(longest),
             F.slice("toks", F.col("pos") + 1, longest).alias("toks"),
         )
-        tried = salted_join(placed, leads, ["field", "lead"], [*ids, "pos"])
+        tried = salted_join(placed, leads, keys, [*ids, "pos"])
     tried = tried.select(*ids, "field", "pos", *words, "toks", F.explode("shapes").alias("shape"))
     own = F.array_join(F.transform("shape.offsets", lambda o: F.get("toks", o)), _SEP)
     gram = F.concat_ws(_SEP, F.col("shape.shape"), own).alias("gram")
@@ -186,6 +206,7 @@ def find_phrases(
     grams = phrases.rows.select("field", "gram").distinct()
     if phrases.small:
         return found.join(F.broadcast(grams), ["field", "gram"], "left_semi")
+    found = maybe_among(found, grams, ["field", "gram"])
     return salted_join(found, grams, ["field", "gram"], [*ids, "pos"], "left_semi")
 
 

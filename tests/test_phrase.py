@@ -6,10 +6,12 @@ from collections import Counter
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from conftest import rows
 from termloom.functions import text as T
 from termloom.operators import phrase
+from termloom.operators.bounds import maybe_among
 from termloom.operators.matching import match_terms
 
 
@@ -130,3 +132,39 @@ def test_analyzed_table_can_be_kept(spark, tmp_path):
     counts = phrase.count_phrases(spark.read.parquet(path), phrases)
     got = phrase.attach_terms(counts, phrases.rows.select("field", "gram", "term"), phrases)
     assert rows(got.select("term", "docid", "hits")) == brute_force(TEXTS, TERMS)
+
+
+@pytest.fixture
+def no_automatic_broadcast(spark):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+@pytest.mark.parametrize("max_shapes", [512, 0])
+def test_beyond_broadcast_size(spark, no_automatic_broadcast, monkeypatch, max_shapes):
+    monkeypatch.setattr(phrase, "MAX_SHAPES", max_shapes)
+    docs = spark.createDataFrame(
+        [(1, "mancos shale mancos oil"), (2, "shale of the mancos shale"), (3, None), (4, "")], "docid long, contents string"
+    )
+    listed = spark.createDataFrame([("mancos shale",), ("shale of the mancos",), ("oil",)], "term string")
+    listed = listed.withColumn("field", F.lit(T.NO_STEM))
+    counts = []
+    for limit in (None, 0):
+        phrases = phrase.compile_terms(listed, fields=[T.NO_STEM], broadcast_bytes=limit)
+        counts.append(phrase.count_phrases(phrase.analyze_documents(docs, [T.NO_STEM]), phrases))
+    assert len(rows(counts[0])) == 4 and rows(counts[0]) == rows(counts[1])
+    plan = counts[1]._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
+    if max_shapes:  # no words leave the task that read them
+        sent = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert sent and not any("toks" in line or "words" in line for line in sent)
+
+
+def test_a_key_filter_loses_no_key(spark):
+    known = spark.range(0, 60000, 3).withColumn("name", F.concat(F.lit("k"), F.col("id")))
+    every = spark.range(60000).withColumn("name", F.concat(F.lit("k"), F.col("id")))
+    kept = maybe_among(every, known, ["id", "name"])
+    assert kept.join(known, "id", "left_semi").count() == 20000
+    assert kept.count() < 20100
