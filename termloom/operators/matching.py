@@ -82,6 +82,7 @@ def match_queries(
         forms = {row["field"] for row in analyzed.select("field").distinct().collect()}
         if forms and not forms.issuperset(phrases.fields):
             raise ValueError(f"analyzed documents lack {sorted(set(phrases.fields) - forms)}")
+        analyzed = analyzed.where(F.col("field").isin(phrases.fields))
     else:
         analyzed = phrase.analyze_documents(docs, phrases.fields or [T.ENGLISH], reused=True)
     # The test is always true. It keeps the count in all three readers of the
@@ -152,6 +153,7 @@ def catch_up(
     docs: DataFrame,
     as_of: dt.datetime | None = None,
     broadcast_bytes: int | None = None,
+    analyzed: DataFrame | None = None,
 ) -> DataFrame:
     """``terms_docs`` rows from the documents since each term's own ``last_updated``.
 
@@ -164,9 +166,7 @@ def catch_up(
         F.bool_and(F.col("_since").isNotNull()).alias("dated"), F.to_date(F.min("_since")).alias("since")
     ).first()
     from_date = oldest["since"] if oldest["dated"] else None
-    rows = match_terms_to_docs(
-        dict_terms, dictionaries, docs, as_of, from_date, broadcast_bytes=broadcast_bytes
-    )
+    rows = match_terms_to_docs(dict_terms, dictionaries, docs, as_of, from_date, analyzed, broadcast_bytes)
     times = docs.select("docid", "time")
     if from_date is not None:
         times = times.where(since(from_date))

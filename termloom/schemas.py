@@ -7,6 +7,7 @@ ARTICLES = (
     "startingPage string, endingPage string, filepath string, issue string, sha1 string, "
     "source string, vol string, time timestamp"
 )
+ANALYZED = "docid string, time timestamp, field string, toks array<string>"
 DICTIONARIES = (
     "dict_id int, name string, source string, key string, json_path array<string>, "
     "base_classification string, classification_path array<string>, case_sensitive boolean, "
