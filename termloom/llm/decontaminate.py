@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.llm import arrays as A
+from termloom.llm.shared import few
 
 FUNCTIONS, BLOCK = 64, 16
 
@@ -128,7 +129,7 @@ def find_items(docs: DataFrame, items: DataFrame, share: float = 0.8, size: int
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             own = Items(*sent.value, size)
-            for batch in batches:
+            for batch in few(batches):
                 found = own.search([t or "" for t in batch.column(1).to_pylist()], share) if own.sets else []
                 place = pa.array([f[0] for f in found], pa.int64())
                 yield pa.RecordBatch.from_arrays(

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.llm import arrays as A
-from termloom.llm.shared import components, settled, whole_groups
+from termloom.llm.shared import components, few, settled, whole_groups
 
 GROUPS, LEAF, FANOUT = 32, 24, 8
 
@@ -185,7 +185,7 @@ def frequent_shingles(docs: DataFrame, size: int, text_col: str, share: float =
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = list(shingle_sets([t or "" for t in batch.column(0).to_pylist()], size))
+            own = [s for part in few([batch]) for s in shingle_sets([t or "" for t in part.column(0).to_pylist()], size)]
             found, times = np.unique(np.concatenate(own), return_counts=True) if own else (np.zeros(0, A.U), np.zeros(0, np.int64))
             often = times >= max(least, share * len(own))
             yield pa.RecordBatch.from_arrays([pa.array(found[often].astype(np.int64)), pa.array(times[often].astype(np.int64))], ["key", "n"])
@@ -200,7 +200,7 @@ def _features(docs: DataFrame, frequent: np.ndarray, size: int, percent: int, id
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late = sent.value
-        for batch in batches:
+        for batch in few(batches):
             n, prints, points, firsts = [], [], [], []
             for s in shingle_sets([t or "" for t in batch.column(1).to_pylist()], size):
                 n.append(len(s))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termloom.llm.shared import BROADCAST_BYTES, settled
+from termloom.llm.shared import BROADCAST_BYTES, few, settled
 
 SPACES = b" \t\n\x0b\x0c\r"
 SLOTS, MOVES = 4, 500
@@ -109,10 +109,11 @@ def references(docs: DataFrame, text_col: str = "text") -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: dict[bytes, int] = {}
-            for text in batch.column(0).to_pylist():
-                for key in set(line_keys(text)):
-                    if key:
-                        found[key] = found.get(key, 0) + 1
+            for part in few([batch]):
+                for text in part.column(0).to_pylist():
+                    for key in set(line_keys(text)):
+                        if key:
+                            found[key] = found.get(key, 0) + 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array([digest(k) for k in found], pa.binary()), pa.array(list(found.values()), pa.int64())], ["digest", "refs"])
 
@@ -213,7 +214,7 @@ class LineIndex:
 
         def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             filters = {k: CuckooFilter.loads(v) for k, v in parts.value.items()}
-            for batch in batches:
+            for batch in few(batches):
                 texts = batch.column(1).to_pylist()
                 keys = [line_keys(t) for t in texts]
                 digests = [digest(k) for ks in keys for k in ks]
@@ -229,7 +230,7 @@ class LineIndex:
         """What to drop depends on the text alone, so its places travel by a digest of the text."""
 
         def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in few(batches):
                 of, at, digests = [], [], []
                 for text in batch.column(0).to_pylist():
                     name = digest(text.encode("utf-8", "surrogatepass"))
@@ -238,12 +239,12 @@ class LineIndex:
                 yield pa.RecordBatch.from_arrays([pa.array(of, pa.binary()), pa.array(at, pa.int32()), pa.array(digests, pa.binary())], ["of", "at", "digest"])
 
         def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in few(batches):
                 names = [digest(t.encode("utf-8", "surrogatepass")) for t in batch.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.binary())], ["doc_id", "text", "of"])
 
         def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in few(batches):
                 texts = batch.column(1).to_pylist()
                 keys = [line_keys(t) for t in texts]
                 gone = [set(g or ()) for g in batch.column(2).to_pylist()]

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.llm.shared import settled
+from termloom.llm.shared import few, settled
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
@@ -77,7 +77,7 @@ def tokenised(docs: DataFrame, path: str, size: int, end_id: int = 0, id_col: st
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, part, seen = encoder(path), TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
-        for batch in batches:
+        for batch in few(batches):
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = np.array([*ids_of(text or ""), end_id], "<u4")

@@ -63,6 +63,13 @@ def label_shares(labels: DataFrame, key: str, label: str, folds: int, fold: int)
     return {r[0]: r[1] for r in known.groupBy(F.col(label).cast("int")).count().collect()}
 
 
+def few(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in views of at most so many: what a task makes of its texts at a time stays small, whatever Spark's batches hold."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """(rows, bounds of the groups of equal keys in them) from a stream sorted by keys; the last group waits for its end."""
     held: pa.Table | None = None

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.llm import arrays as A
-from termloom.llm.shared import held_out, label_shares, labelled_sample
+from termloom.llm.shared import few, held_out, label_shares, labelled_sample
 
 #: Insults known beforehand, by how they wound.
 GENERAL = {
@@ -225,7 +225,7 @@ def collected(texts: DataFrame, least_texts: int = 4) -> Sample:
     """texts (y, text), of bounded number; features of fewer than least_texts of them are left out."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few(batches):
             rows = batch.column(1).to_pylist()
             pairs = [A.shingles(*A.words(*A.laid_out([t.lower()]), A.letters()), 2)[0] >> A.U(1) for t in rows]
             yield pa.RecordBatch.from_arrays(
@@ -291,7 +291,7 @@ def score(docs: DataFrame, model: Model, folds: int = 5, fold: int = 0, threshol
     sent = docs.sparkSession.sparkContext.broadcast(model)  # words of a bounded sample
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few(batches):
             scores = sent.value.scores([t or "" for t in batch.column(2).to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(scores), pa.array((scores >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
@@ -306,7 +306,7 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5, text_co
     at = docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few(batches):
             scores = sent.value.scores([t or "" for t in batch.column(at).to_pylist()])
             yield batch.filter(pa.array(scores < threshold))
 
