@@ -19,9 +19,14 @@ FORMATS = {
     "ip": r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![.\d])",
     "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)",
     "ssn": r"\d{3}-\d{2}-\d{4}(?![\d-])",
-    "card": r"\d(?:[ -]?\d){12,18}(?!\d)",
     "token": r"(?<=token = \")[A-Za-z0-9_+/=-]{16,}(?=\")|AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
 }
+#: Cards as they are written: digits in groups with one kind of separator, then unbroken ones.
+FOURS = "|".join(r"\d{4}(?:SEP(?!OTHER|\d{4}SEP\d{6}SEP\d{4,5}(?!\d))\d{4}(?!\d)){3,}(?:SEP(?!OTHER)\d{3}(?!\d))?".replace("SEP", s) for s in " -").replace("OTHER", "|".join(FORMATS[k] for k in ("date", "ip", "phone", "ssn")))
+PARTED = "|".join(r"\d{4}SEP\d{6}SEP\d{4,5}(?!\d)|\d{6}SEP\d{13}(?!\d)".replace("SEP", s) for s in " -")
+GROUPED = rf"{PARTED}|{FOURS}|\d{{13,19}}(?!\d)"
+#: Other long numbers end before a date, an address or a card as above.
+FORMATS["card"] = rf"(?:{GROUPED}|\d(?:(?:[ -](?!{GROUPED}|" + "|".join(FORMATS[k] for k in ("date", "ip", "phone", "ssn")) + r"))?\d){12,18}(?!\d))"
 PATTERN = r"(?<![\w.+-])(?:" + "|".join(p for k, p in FORMATS.items() if k != "token") + ")|" + FORMATS["token"]
 #: The Gregorian calendar repeats after 400 years; dates in one such span are permuted as two digits of these bases.
 DATE_FROM, DATE_HIGH, DATE_LOW = "1800-01-01", 189, 773
@@ -104,6 +109,33 @@ def permuted_ip(text: Column, key: str) -> tuple[Column, Column]:
     return valid, shown
 
 
+def parts_of(match: Column) -> Column:
+    """A match as pieces: of a row of groups in which several cards could begin, those that pass the Luhn test.
+
+    Where none does, four groups are a number. What is left of the row stands alone and is no card.
+    """
+    groups, sep = F.regexp_extract_all(match, F.lit(r"\d+"), F.lit(0)), F.regexp_extract(match, "[ -]", 0)
+    four = F.size(F.filter(groups, lambda g: F.length(g) == 4))
+
+    def passes(start: Column, n: int) -> Column:
+        return (start + n <= F.size(groups)) & (luhn_sum(F.array_join(F.slice(groups, start + 1, F.lit(n)), ""), 0) % 10 == 0)
+
+    # how many groups a card that begins at each group has, else 0; the fifth is a short one
+    cards = F.transform(groups, lambda g, i: F.when((i + 4 <= four) & passes(i, 4), 4).when((i + 5 == F.size(groups)) & (i + 4 == four) & passes(i, 5), 5).otherwise(0))
+    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).alias("until"))
+
+    def put(s: Column, i: Column) -> Column:
+        soon = F.exists(F.slice(cards, i + 2, F.lit(3)), lambda n: n > 0)
+        n = F.when(F.get(cards, i) > 0, F.get(cards, i)).when(~soon & (i + 4 <= four), 4).otherwise(1)
+        piece = F.array(F.call_function("array_join", F.slice(groups, i + 1, n), sep), F.when(i + n < F.size(groups), sep).otherwise(F.lit("")))
+        return F.when(i < s["until"], s).otherwise(F.struct(F.concat(s["out"], piece).alias("out"), (i + n).alias("until")))
+
+    row = F.aggregate(F.sequence(F.lit(0), F.size(groups) - 1), start, put)["out"]
+    digits = F.array_join(groups, "")
+    return F.when(match.rlike(f"^(?:{FOURS})$") & (F.size(groups) > 4), row).when(
+        match.rlike(r"^\d{6}[ -]\d{13}$") & (luhn_sum(digits, 0) % 10 != 0), F.array(F.get(groups, F.lit(0)), sep, F.get(groups, F.lit(1)))).otherwise(F.array(match))
+
+
 def pseudonym(match: Column, key: str) -> Column:
     """(kind, value) of a match; a match that is not valid keeps its text and has no kind."""
     digits = F.regexp_replace(match, "[^0-9]", "")
@@ -141,7 +173,8 @@ def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
     Card numbers pass the Luhn test before and after; long numbers that fail it are
     permuted among all numbers of their length; dates stay dates of 1800 to 2199 in
     their notation, addresses stay addresses; telephone and social security numbers
-    keep their punctuation. Mail addresses and secret tokens, which have no number
+    keep their punctuation. A card is told from numbers, dates and addresses beside it by
+    its groups and the Luhn test. Mail addresses and secret tokens, which have no number
     format, become keyed digests. A match that is not valid in its format stays. Equal
     values have equal pseudonyms in all documents, however long their texts. Null text
     gives null text and none found; an empty text stays empty; repeated rows are treated
@@ -151,9 +184,9 @@ def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
     found = rows.withColumn("found", F.coalesce(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)), F.array().cast("array<string>")))
     # only texts with a match are split
     some = F.size("found") > 0
-    made = found.withColumn("made", F.when(some, F.transform("found", lambda m: pseudonym(m, key)))).withColumn("between", F.when(some, F.split("text", PATTERN, -1)))
-    joined = F.array_join(F.transform("between", lambda part, i: F.concat(part, F.coalesce(F.get("made", i)["value"], F.lit("")))), "")
-    kinds = F.filter(F.transform("made", lambda m: m["kind"]), lambda k: k.isNotNull())
+    made = found.withColumn("made", F.when(some, F.transform("found", lambda m: F.transform(parts_of(m), lambda p: pseudonym(p, key))))).withColumn("between", F.when(some, F.split("text", PATTERN, -1)))
+    joined = F.array_join(F.transform("between", lambda part, i: F.concat(part, F.coalesce(F.array_join(F.get("made", i)["value"], ""), F.lit("")))), "")
+    kinds = F.filter(F.transform(F.flatten("made"), lambda m: m["kind"]), lambda k: k.isNotNull())
     return made.select(
         "doc_id", F.when(some, joined).otherwise(F.col("text")).alias("text"),
         F.coalesce(F.size(kinds), F.lit(0)).cast("long").alias("n_found"),

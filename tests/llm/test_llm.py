@@ -304,6 +304,28 @@ def test_pseudonyms_keep_formats(spark):
     assert got[3]["kinds"] == "email,ssn,token" and got[4]["text"] == rows[3][1] and got[5]["text"] is None and got[6]["text"] == "" and got[7]["text"] == "999.1.1.1"
 
 
+def pseudonymised(spark, rows):
+    """text -> (its pseudonym, number found, kinds)."""
+    got = pii.pseudonymise(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), "k").collect()
+    return {rows[r["doc_id"]]: (r["text"], r["n_found"], r["kinds"]) for r in got}
+
+
+def test_cards_beside_other_values(spark):
+    card, visa, amex, plain = "4111 1111 1111 1111", "4242 4242 4242 4242", "3782 822463 10005", "4111111111111111"
+    cards = [card, visa, amex, plain, card.replace(" ", "-")]
+    clear = ["{} 05/27", "order 12 {}", "1234 {}", "{} 1234", "{} 123", "{} 2024", "12 {} 34", "{} 12.50"]
+    others = ["10.0.0.1", "31.12.1999", "2024-01-15", "12/25/1980", "123-45-6789", "+1 (555) 010-9999"]
+    numbers = ["1234 5678 9012 3456", "12 345 678 90123 45", "1234567890123", "1234 5678 9012 3456 7890"]
+    pairs = [(a, b) for a in cards[:4] for b in others] + [(a, b) for a in others for b in cards[:4]] + [(card, visa), (card, amex), (amex, card)]
+    got = pseudonymised(spark, [*cards, *others, *numbers, *(t.format(c) for t in clear for c in cards), *(f"{a} {b}" for a, b in pairs)])
+    assert all(got[v][0] != v for v in cards + others) and all(luhn(re.sub("[ -]", "", got[c][0])) for c in cards)
+    assert len({re.sub("[ -]", "", got[c][0]) for c in (card, plain, cards[4])}) == 1
+    assert [got[t.format(c)] for t in clear for c in cards] == [(t.format(got[c][0]), 1, "card") for t in clear for c in cards]
+    assert [got[f"{a} {b}"][:2] for a, b in pairs] == [(f"{got[a][0]} {got[b][0]}", 2) for a, b in pairs]
+    # numbers that are no cards stay numbers, in any groups
+    assert [got[n][2] for n in numbers] == ["number"] * 4
+
+
 def test_pseudonyms_are_permutations(spark):
     numbers = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d"))
     assert numbers.select(pii.permuted_digits(F.col("d"), "k", "t").alias("p")).where("p rlike '^[0-9]{3}$'").distinct().count() == 1000
