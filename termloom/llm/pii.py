@@ -15,10 +15,11 @@ ROUNDS = 10
 #: What is looked for; the order decides where two could begin at one place.
 FORMATS = {
     "email": r"[\p{L}0-9][\p{L}0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "date": r"(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\d./-]*\d)",
-    "ip": r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![.\d])",
+    # a date or address may be the first of a range, but no part of a longer number in its own notation
+    "date": r"(?:\d{4}-\d{2}-\d{2}(?!\d|-\d(?!\d{3}-\d{2}-\d{2}(?!\d)))|\d{2}\.\d{2}\.\d{4}(?!\.?\d)|\d{2}/\d{2}/\d{4}(?!/?\d))",
+    "ip": r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)",
     "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)",
-    "ssn": r"\d{3}-\d{2}-\d{4}(?![\d-])",
+    "ssn": r"\d{3}-\d{2}-\d{4}(?!-?\d)",
     "token": r"(?<=token = \")[A-Za-z0-9_+/=-]{16,}(?=\")|AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
 }
 #: Cards as they are written: digits in groups with one kind of separator, then unbroken ones.
@@ -27,7 +28,11 @@ PARTED = "|".join(r"\d{4}SEP\d{6}SEP\d{4,5}(?!\d)|\d{6}SEP\d{13}(?!\d)".replace(
 GROUPED = rf"{PARTED}|{FOURS}|\d{{13,19}}(?!\d)"
 #: Other long numbers end before a date, an address or a card as above.
 FORMATS["card"] = rf"(?:{GROUPED}|\d(?:(?:[ -](?!{GROUPED}|" + "|".join(FORMATS[k] for k in ("date", "ip", "phone", "ssn")) + r"))?\d){12,18}(?!\d))"
-PATTERN = r"(?<![\w.+-])(?:" + "|".join(p for k, p in FORMATS.items() if k != "token") + ")|" + FORMATS["token"]
+#: A number begins after no letter or digit, and after a sign only where that does not go on a number; a range's end may follow its start.
+BEGIN = r"(?=[\d+(])(?:(?<![A-Za-z0-9])(?<!\d[._+-])|(?<=(?<!\d)(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4}|\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})-))"
+#: A mail address begins where none of its own characters could have begun it before.
+MAIL_BEGIN = r"(?<![\p{L}0-9])(?<![\p{L}0-9][._%+-])"
+PATTERN = f"{MAIL_BEGIN}{FORMATS['email']}|{BEGIN}(?:" + "|".join(p for k, p in FORMATS.items() if k not in ("email", "token")) + ")|" + FORMATS["token"]
 #: The Gregorian calendar repeats after 400 years; dates in one such span are permuted as two digits of these bases.
 DATE_FROM, DATE_HIGH, DATE_LOW = "1800-01-01", 189, 773
 

@@ -326,6 +326,19 @@ def test_cards_beside_other_values(spark):
     assert [got[n][2] for n in numbers] == ["number"] * 4
 
 
+def test_values_at_sentence_ends_and_in_ranges(spark):
+    ip, ip2, dotted, dotted2, iso, iso2, slash, ssn, card, mail = values = [
+        "10.0.0.12", "10.0.0.99", "12.05.2023", "14.05.2023", "2024-01-15", "2024-02-01", "12/25/1980", "123-45-6789", "4111111111111111", "john@example.com"]
+    rows = [("Connect to {}. Then", [ip]), ("Connect to {}.", [ip]), ("{}-{}", [ip, ip2]), ("from {}-{}.", [dotted, dotted2]), ("{}/{}", [dotted, dotted2]), ("{}/{}", [iso, iso2]), ("{}-{}", [iso, iso2]),
+            ("{}.", [dotted]), ("on {}-5", [dotted]), ("{}. 5", [iso]), ("{}-{}", [slash, slash]), ("{}- and", [ssn]), ("{}.", [card]),
+            *((f"{sign}{{}}", [v]) for v in values for sign in ("-", ".", "_", "- ", "..."))]
+    odd = ["1.10.0.0.12.5", "10.0.0.12.5", "2024-01-15-7", "12.05.2023.5", "12/25/1980/5", "7-123-45-6789", "1.4111111111111111", "x4111111111111111", "123-45-6789-1"]
+    got = pseudonymised(spark, [*values, *odd, *(t.format(*v) for t, v in rows)])
+    assert all(got[v][0] != v and got[v][1] == 1 for v in values)
+    assert [got[t.format(*v)][:2] for t, v in rows] == [(t.format(*(got[x][0] for x in v)), len(v)) for t, v in rows]
+    assert [got[o][:2] for o in odd] == [(o, 0) for o in odd]
+
+
 def test_pseudonyms_are_permutations(spark):
     numbers = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d"))
     assert numbers.select(pii.permuted_digits(F.col("d"), "k", "t").alias("p")).where("p rlike '^[0-9]{3}$'").distinct().count() == 1000
