@@ -262,9 +262,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     classes = filled.groupBy("print", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     reps = settled(
         filled.select("doc_id", "print", "n").join(classes.where("copies > 1"), ["print", "n"], "left")
-        .select("doc_id", F.coalesce("rep", "doc_id").alias("rep")), "shingle-classes")
-    # of equal sets one goes on
-    standing = filled.join(reps.where("doc_id <> rep").select("doc_id", F.col("rep").alias("r")), "doc_id", "left").where("r IS NULL").select("doc_id", "n", "point", "firsts")
+        .select("doc_id", "print", "n", F.coalesce("rep", "doc_id").alias("rep")), "shingle-classes")
+    # of equal sets one goes on; an id's other sets stay
+    standing = filled.join(reps.where("doc_id <> rep").select("doc_id", "print", "n").distinct(), ["doc_id", "print", "n"], "left_anti").select("doc_id", "n", "point", "firsts")
 
     keys = standing.select("doc_id", F.explode("firsts").alias("key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key")

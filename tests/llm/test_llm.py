@@ -212,6 +212,13 @@ def test_near_duplicates_of_hard_rows(spark):
     assert J.near_duplicates(hard(spark, True)).count() == 0
 
 
+def test_near_duplicates_of_an_id_with_two_texts(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(3, a), (5, a), (5, a), (5, b), (9, b + " end"), (11, "some other words that stand alone here")]
+    got = {r["doc_id"]: r["component_id"] for r in J.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size=4, percent=85).collect()}
+    assert got == {3: 3, 5: 3, 9: 3, 11: 11}
+
+
 def test_tree_finds_what_all_pairs_find():
     rng = np.random.default_rng(2)
     centres = rng.poisson(6, (12, J.GROUPS))
