@@ -28,9 +28,10 @@ def encoder(path: str):
     """text -> ids of the tokenizer file at path.
 
     Where the same vocabulary lies beside it as ranks, the faster library reads that;
-    a text that it cannot take is left to the tokenizer itself. Strings of special
-    tokens are ordinary text.
+    a text that it cannot take, or that holds the string of an added token, is left to
+    the tokenizer itself, with its own settings.
     """
+    import json
     import os
 
     from tokenizers import Tokenizer
@@ -40,7 +41,6 @@ def encoder(path: str):
     def slow(text: str) -> list[int]:
         if not made:
             made.append(Tokenizer.from_file(path))
-            made[0].encode_special_tokens = True
         return made[0].encode(text, add_special_tokens=False).ids
 
     ranks = path.removesuffix(".json") + ".tiktoken"
@@ -49,11 +49,15 @@ def encoder(path: str):
     import public_tokenizers
     import tiktoken
 
+    with open(path, encoding="utf-8") as file:
+        added = [token["content"] for token in json.load(file).get("added_tokens", [])]
     with open(ranks, "rb") as lines:
         table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
 
     def ids(text: str) -> list[int]:
+        if any(token in text for token in added):
+            return slow(text)
         try:
             return fast.encode_ordinary(text)
         except BaseException as e:  # the library's panics are no Exception

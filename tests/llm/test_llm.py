@@ -158,6 +158,17 @@ def test_packing_round_trip(spark):
     assert max(bins.values()) <= 2048 and len(bins) <= -(-sum(bins.values()) // 2048) + 1
 
 
+def test_packing_of_added_tokens(spark):
+    from tokenizers import Tokenizer
+
+    rows = [(1, "one<|endoftext|>two"), (2, "<|endoftext|>"), (3, "plain <|endof"), (4, "a <|endoftext|> " * 40)]
+    own = Tokenizer.from_file(tokenizer_file())
+    ids = {d: np.array([*own.encode(t, add_special_tokens=False).ids, 0], "<u4") for d, t in rows}
+    assert 50256 in ids[1]
+    got = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in pack(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer_file()).collect()}
+    assert got == {d: (len(v), zlib.crc32(v.tobytes())) for d, v in ids.items()}
+
+
 def test_packing_of_hard_rows(spark):
     got = pack(hard(spark), tokenizer_file(), size=16).collect()
     assert sum(r["piece"] == 0 for r in got) == len(HARD)
