@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import decontaminate, language, licenses, pii, quality, toxicity
+from termloom.llm import conversations, decontaminate, language, licenses, pieces, pii, quality, toxicity, whitening
 from termloom.llm.exact_dedup import exact_duplicates
 from termloom.llm.jaccard_join import near_duplicates
 from termloom.llm.line_dedup import drop_repeated_lines
 from termloom.llm.packing import pack
-from termloom.llm.shared import ship
+from termloom.llm.shared import settled, ship
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,12 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")), threshold=0.3)
@@ -71,6 +77,36 @@ def op10_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), share=0.8, size=5)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The damaged conversations' cheapest repair; one of which no row is left has zeros and the hash of nothing."""
+    given = table(spark, sf_dir, "conversations")
+    rows = conversations.damaged(given)
+    found = conversations.digests(rows, settled(conversations.audits(rows), "audits")).withColumnRenamed("conv_id", "_conv")
+    every = given.select("conv_id").distinct()
+    joined = every.join(found, F.col("conv_id").eqNullSafe(F.col("_conv")), "left")
+    numbers = [F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return joined.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op12_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the pieces their number and hash, of the texts they give the hash, and of the places where they start."""
+    path = piece_file()
+    decoded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), path), path)
+    return decoded.select(
+        "doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), F.sha2("starts", 256).alias("starts_sha256"))
+
+
+def op13_polarisation_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deviation beyond a long is null there, and whole in exact_deviation."""
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors, most=32)
+    out = whitening.transform(vectors, model)
+    return out.select(
+        "vec_id", "component", "n", F.expr("try_cast(deviation AS bigint)").alias("deviation"), "whitened", "explained",
+        F.lit(whitening.identity_error(vectors, model)).alias("identity_error"), F.col("deviation").alias("exact_deviation"))
+
+
 QUERIES = {
     "op1_subword_quality": op1_subword_quality,
     "op2_feistel_pii": op2_feistel_pii,
@@ -82,6 +118,9 @@ QUERIES = {
     "op8_content_sort_dedup": op8_content_sort_dedup,
     "op9_compression_language": op9_compression_language,
     "op10_benchmark_containment": op10_benchmark_containment,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_piece_encoding": op12_piece_encoding,
+    "op13_polarisation_whitening": op13_polarisation_whitening,
 }
 
 _SPACES = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

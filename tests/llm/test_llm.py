@@ -449,4 +449,4 @@ def test_pipeline_stages_against_plain_ones(spark):
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(QUERIES) and len(QUERIES) == 10
+    assert set(ORACLES) <= set(QUERIES) and len(QUERIES) == 13
