@@ -15,6 +15,7 @@ import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,8 @@ SPACE, REPLACEMENT = "▁".encode(), "�".encode()
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 BPE = 2
 #: Words that a task remembers, and the longest of them in characters.
-MEMORY, LONGEST = 1 << 17, 64
+MEMORY, LONGEST = 1 << 19, 64
+NEVER = float("inf")
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -88,8 +90,8 @@ class CharacterMap:
 class PieceModel:
     """A model of merged pieces, read from its file.
 
-    Models of another kind, and those with user-defined or unused pieces or with the space
-    after a word, raise ValueError.
+    Models of another kind, and those with user-defined or unused pieces, without pieces
+    for bytes, or with the space after a word, raise ValueError.
     """
 
     def __init__(self, data: bytes):
@@ -102,13 +104,13 @@ class PieceModel:
                 trainer = dict(_fields(value))
             elif number == 3:
                 normal = dict(_fields(value))
-        if trainer.get(3, 1) != BPE or trainer.get(24, 0) or any(kind not in (NORMAL, UNKNOWN, CONTROL, BYTE) for _, _, kind in pieces):
+        if trainer.get(3, 1) != BPE or trainer.get(24, 0) or not trainer.get(35, 0) or any(kind not in (NORMAL, UNKNOWN, CONTROL, BYTE) for _, _, kind in pieces):
             raise ValueError("not a model of merged pieces, or one with pieces that are not supported")
-        self.scores = {piece: (-score, i) for i, (piece, score, kind) in enumerate(pieces) if kind == NORMAL}
-        self.bytes = {int(piece[3:5], 16): i for i, (piece, _, kind) in enumerate(pieces) if kind == BYTE} if trainer.get(35, 0) else {}
-        self.special = {piece: i for i, (piece, _, kind) in enumerate(pieces) if kind != NORMAL}
-        self.unknown = next(i for i, (_, _, kind) in enumerate(pieces) if kind == UNKNOWN)
-        self.begin, self.end = (self.special.get(trainer.get(n, default).decode()) for n, default in ((46, b"<s>"), (47, b"</s>")))
+        self.ids = {piece: i for i, (piece, _, kind) in enumerate(pieces) if kind == NORMAL}
+        self.ranks = {piece: -score for piece, score, kind in pieces if kind == NORMAL}
+        self.bytes = {int(piece[3:5], 16): i for i, (piece, _, kind) in enumerate(pieces) if kind == BYTE}
+        special = {piece: i for i, (piece, _, kind) in enumerate(pieces) if kind != NORMAL}
+        self.begin, self.end = (special.get(trainer.get(n, default).decode()) for n, default in ((46, b"<s>"), (47, b"</s>")))
         self.map = CharacterMap(normal.get(2, b""))
         self.prefix, self.single, self.marked = bool(normal.get(3, 1)), bool(normal.get(4, 1)), bool(normal.get(5, 1))
         self.space = SPACE if self.marked else b" "
@@ -117,12 +119,13 @@ class PieceModel:
             surface if kind == UNKNOWN else b"" if kind == CONTROL else bytes([int(piece[3:5], 16)]) if kind == BYTE else piece.encode().replace(SPACE, b" ")
             for piece, _, kind in pieces]
         self.kinds = [kind for _, _, kind in pieces]
-        self.led = {i for piece, (_, i) in self.scores.items() if piece.encode().startswith(SPACE)}
+        self.sizes = np.array([1 if kind == BYTE else len(piece.encode()) for piece, _, kind in pieces])
+        self.led = {i for piece, i in self.ids.items() if piece.encode().startswith(SPACE)}
         # words can be merged apart if no piece goes on after its last character into a space
         mark = SPACE.decode()
-        apart = mark in self.scores and not any(re.search(f"[^{mark}]{mark}", piece) for piece in self.scores)
+        apart = mark in self.ids and not any(re.search(f"[^{mark}]{mark}", piece) for piece in self.ids)
         self.words = re.compile(f"{mark}+[^{mark}]*|[^{mark}]+" if apart else r"(?s:.+)")
-        self.known: dict[str, tuple[list[int], list[int]]] = {}
+        self.known: dict[str, bytes] = {}
 
     # Normalisation
 
@@ -191,6 +194,26 @@ class PieceModel:
 
     def merged(self, word: str) -> list[str]:
         """The word's characters, merged to pieces."""
+        return self._merged_short(word) if len(word) <= LONGEST else self._merged_long(word)
+
+    def _merged_short(self, word: str) -> list[str]:
+        parts, rank = list(word), self.ranks.get
+        ranks = [rank(one + other, NEVER) for one, other in zip(parts, parts[1:], strict=False)]
+        while ranks:
+            best = min(ranks)
+            if best == NEVER:
+                break
+            i = ranks.index(best)
+            parts[i] += parts.pop(i + 1)
+            ranks.pop(i)
+            if i < len(ranks):
+                ranks[i] = rank(parts[i] + parts[i + 1], NEVER)
+            if i:
+                ranks[i - 1] = rank(parts[i - 1] + parts[i], NEVER)
+        return parts
+
+    def _merged_long(self, word: str) -> list[str]:
+        """The same by a queue of pairs, as the other way is quadratic."""
         symbols: list[str | None] = list(word)
         after, before = list(range(1, len(word) + 1)), list(range(-1, len(word) - 1))
         waiting: list[tuple[float, int, str]] = []
@@ -198,8 +221,8 @@ class PieceModel:
         def offer(left: int) -> None:
             if left >= 0 and after[left] < len(symbols):
                 both = symbols[left] + symbols[after[left]]
-                if both in self.scores:
-                    heapq.heappush(waiting, (self.scores[both][0], left, both))
+                if both in self.ranks:
+                    heapq.heappush(waiting, (self.ranks[both], left, both))
 
         for i in range(len(word) - 1):
             offer(i)
@@ -216,65 +239,50 @@ class PieceModel:
             offer(left)
         return [s for s in symbols if s is not None]
 
-    def _pieces(self, word: str) -> tuple[list[int], list[int]]:
-        """(ids, lengths in bytes) of a word's pieces."""
-        ids, sizes = [], []
+    def _pieces(self, word: str) -> bytes:
+        """The ids of a word's pieces, as they are given out; a character that is none is one for each of its bytes."""
+        ids: list[int] = []
         for symbol in self.merged(word):
-            own = self.scores.get(symbol, (0, self.special.get(symbol, self.unknown)))[1]
-            data = symbol.encode()
-            if own != self.unknown:
-                ids.append(own)
-                sizes.append(len(data))
-            elif self.bytes:
-                ids += [self.bytes[b] for b in data]
-                sizes += [1] * len(data)
-            elif ids and ids[-1] == self.unknown:
-                sizes[-1] += len(data)  # neighbours that are unknown are one piece
+            own = self.ids.get(symbol)
+            if own is None:
+                ids += [self.bytes[b] for b in symbol.encode()]
             else:
                 ids.append(own)
-                sizes.append(len(data))
-        return ids, sizes
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encoded(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, where each piece starts, where it ends) without begin and end; places are bytes of the text."""
         data, came = self.normalised(text)
-        ids: list[int] = []
-        sizes: list[int] = []
-        for word in self.words.findall(data.decode()):
-            found = self.known.get(word)
-            if found is None:
-                found = self._pieces(word)
-                if len(word) <= LONGEST:
-                    if len(self.known) >= MEMORY:
-                        self.known.clear()
-                    self.known[word] = found
-            ids += found[0]
-            sizes += found[1]
-        bounds = came[np.concatenate([[0], np.cumsum(np.array(sizes, np.int64))]).astype(np.int64)]
-        return np.array(ids, "<u4"), bounds[:-1], bounds[1:]
+        words = self.words.findall(data.decode())
+        if len(self.known) >= MEMORY:
+            self.known.clear()
+        found = list(map(self.known.get, words))
+        if None in found:
+            new = {word: self._pieces(word) for word in {w for w, ids in zip(words, found, strict=True) if ids is None}}
+            found = [new[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
+            self.known.update((word, ids) for word, ids in new.items() if len(word) <= LONGEST)
+        ids = np.frombuffer(b"".join(found), "<u4")
+        bounds = came[np.concatenate([[0], np.cumsum(self.sizes[ids])])]
+        return ids, bounds[:-1], bounds[1:]
 
     # And back
 
     def decoded(self, ids: list[int]) -> str:
         """The text of some ids; begin and end have none, the prefix goes, bytes that make no character become U+FFFD."""
-        out: list[bytes] = []
-        waiting = bytearray()
-        first = True
-        for i in ids:
-            if self.kinds[i] == BYTE:
-                waiting += self.surfaces[i]
-                continue
-            if waiting:
-                out.append(_characters(bytes(waiting)))
-                waiting, first = bytearray(), False
-            own = self.surfaces[i]
-            if first and self.kinds[i] != CONTROL:
-                if i in self.led and (self.prefix or self.single):
-                    own, first = own[1:], self.single
-                first = first and not own
-            out.append(own)
-        out.append(_characters(bytes(waiting)))
-        return b"".join(out).decode()
+        told = next((k for k, i in enumerate(ids) if self.kinds[i] != CONTROL), len(ids))
+        surfaces = [self.surfaces[i] for i in ids]
+        # without its space the first piece may be empty; where spaces are single, the next one loses its own, too
+        while told < len(ids) and ids[told] in self.led and (self.prefix or self.single):
+            surfaces[told] = surfaces[told][1:]
+            if not self.single or surfaces[told]:
+                break
+            told = next((k for k in range(told + 1, len(ids)) if self.kinds[ids[k]] != CONTROL), len(ids))
+        try:
+            return b"".join(surfaces).decode()
+        except UnicodeDecodeError:
+            return "".join(
+                _characters(b"".join(surface for _, surface in run)).decode() if of_bytes else b"".join(surface for _, surface in run).decode()
+                for of_bytes, run in groupby(zip(ids, surfaces, strict=True), lambda x: self.kinds[x[0]] == BYTE))
 
 
 def _characters(data: bytes) -> bytes:
