@@ -6,6 +6,10 @@ twice a part's largest size, each overlapping the next by half: an item's passag
 whole in some window and makes up a good part of it. A window and an item that agree in
 a minimum of any of the hash functions are a candidate; the share of the item's
 shingles that the whole document has decides.
+
+Few shingles make few minima, so items of up to eight are not left to chance: the hashes
+of their shingles are looked up one by one. An item with fewer words than a shingle is
+one shingle of its own length, and is looked for among the documents' runs of as many words.
 """
 
 from __future__ import annotations
@@ -21,6 +25,8 @@ from termloom.llm import arrays as A
 from termloom.llm.shared import few
 
 FUNCTIONS, BLOCK = 64, 16
+#: Items of up to so many shingles are found by every one of them.
+FEW = 8
 
 
 def shingle_sets(texts: list[str], size: int) -> list[np.ndarray]:
@@ -33,6 +39,32 @@ def shingle_sets(texts: list[str], size: int) -> list[np.ndarray]:
     return out
 
 
+def word_counts(texts: list[str]) -> list[int]:
+    out: list[int] = []
+    for _, some in A.chunks([t.lower() for t in texts]):
+        out += np.diff(A.words(*A.laid_out(some), A.letters_and_digits())[1]).tolist()
+    return out
+
+
+class Lookup:
+    """Items by the hashes of their shingles, asked for all shingles of many texts at once."""
+
+    def __init__(self, rows: list[tuple[np.uint64, int]]):
+        order = sorted(rows)
+        self.hashes, self.items = np.array([h for h, _ in order], A.U), [i for _, i in order]
+        self.marks = np.zeros(1 << 16, bool)
+        self.marks[(self.hashes >> A.U(48)).astype(np.int64)] = True
+
+    def found(self, shingles: np.ndarray, bounds: np.ndarray) -> set[tuple[int, int]]:
+        """(text, item) for every text that has one of the item's shingles."""
+        near = np.flatnonzero(self.marks[(shingles >> A.U(48)).astype(np.int64)]) if self.items else []
+        if not len(near):
+            return set()
+        a, b = np.searchsorted(self.hashes, shingles[near], "left"), np.searchsorted(self.hashes, shingles[near], "right")
+        docs = np.searchsorted(bounds, near[b > a], "right") - 1
+        return {(doc, item) for doc, x, y in zip(docs.tolist(), a[b > a].tolist(), b[b > a].tolist(), strict=True) for item in self.items[x:y]}
+
+
 def functions() -> tuple[np.ndarray, np.ndarray]:
     seeds = A.mixed(np.arange(1, 2 * FUNCTIONS + 1, dtype=A.U))
     return seeds[:FUNCTIONS] | A.U(1), seeds[FUNCTIONS:]
@@ -44,12 +76,20 @@ class Items:
     def __init__(self, ids: list[int], texts: list[str], size: int):
         self.size = size
         sets = shingle_sets(texts, size)
+        words = [n for n, s in zip(word_counts(texts), sets, strict=True) if len(s)]
         self.ids = [i for i, s in zip(ids, sets, strict=True) if len(s)]
         self.sets = [s for s in sets if len(s)]
-        blocks = [max(0, int(np.ceil(np.log2(len(s) / BLOCK)))) for s in self.sets]  # part k: up to BLOCK * 2**k shingles
-        self.parts = {k: np.flatnonzero(np.array(blocks) == k) for k in sorted(set(blocks))}
+        self.by_length = {
+            n: Lookup([(s[0], i) for i, s in enumerate(self.sets) if words[i] == n]) for n in range(1, size) if n in words}
+        whole = [i for i, n in enumerate(words) if n >= size]
+        self.few = Lookup([(h, i) for i in whole if len(self.sets[i]) <= FEW for h in self.sets[i]])
+        of = {i: max(0, int(np.ceil(np.log2(len(self.sets[i]) / BLOCK)))) for i in whole if len(self.sets[i]) > FEW}
+        blocks = [of.get(i, -1) for i in range(len(self.sets))]  # part k: up to BLOCK * 2**k shingles
+        self.parts = {k: np.flatnonzero(np.array(blocks) == k) for k in sorted(set(of.values()))}
         multiply, add = functions()
-        minima = np.array([[((s * m) ^ a).min() for m, a in zip(multiply, add, strict=True)] for s in self.sets], A.U).reshape(-1, FUNCTIONS)
+        minima = np.zeros((len(self.sets), FUNCTIONS), A.U)
+        for i in of:
+            minima[i] = [((self.sets[i] * m) ^ a).min() for m, a in zip(multiply, add, strict=True)]
         self.tables, self.marks = {}, {}
         for k, of in self.parts.items():
             for f in range(FUNCTIONS):
@@ -61,10 +101,10 @@ class Items:
 
     def candidates(self, found: np.ndarray, bounds: np.ndarray) -> set[tuple[int, int]]:
         """(text, item) where some window and the item share a minimum; found: shingles of all texts, in order."""
-        out: set[tuple[int, int]] = set()
+        out = self.few.found(found, bounds)
         counts = np.diff(bounds)
         per = -(-counts // BLOCK)
-        if not per.sum():
+        if not per.sum() or not self.parts:
             return out
         first = np.concatenate([[0], np.cumsum(per)])
         doc = np.repeat(np.arange(len(counts)), per)
@@ -95,6 +135,8 @@ class Items:
             hashes, bounds = A.words(*A.laid_out(some), A.letters_and_digits())
             found, ends = A.shingles(hashes, bounds, self.size)
             own: dict[int, np.ndarray] = {}
+            for n, lookup in self.by_length.items():
+                out += [(at + doc, self.ids[item], 1.0) for doc, item in sorted(lookup.found(*A.shingles(hashes, bounds, n)))]
             for doc, item in sorted(self.candidates(found, ends)):
                 if doc not in own:
                     own = {doc: np.unique(found[ends[doc] : ends[doc + 1]])}
@@ -107,8 +149,9 @@ class Items:
 def find_items(docs: DataFrame, items: DataFrame, share: float = 0.8, size: int = 5, block_items: int = 5000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, containment): which items have at least `share` of their distinct shingles in which documents.
 
-    Shingles are `size` lowered words of letters and digits; a shorter text is one
-    shingle, one without words has none and is never found. Documents are read whole.
+    Shingles are `size` lowered words of letters and digits. A shorter item is found
+    where its words stand one after the other; one without words is never found.
+    Documents are read whole.
     Items go to the tasks in blocks of block_items, one pass over the documents each,
     so no broadcast grows with the benchmark. Null texts count as empty, items with a
     null id keep it, repeated rows are searched each, equal items are all found. An
