@@ -1,8 +1,8 @@
 """Reversible line dedup: exact reference counts of lines, with sharded cuckoo filters before them.
 
 A line's key is the line without ASCII white space at its ends, with A-Z lowered. The
-reference table counts the documents of each key. The keys of at least `min_docs`
-documents are held in cuckoo filters, one per shard of the key's digest; documents can
+reference table counts the documents of each key; all rows of one id are one document. The keys
+of at least `min_docs` documents are held in cuckoo filters, one per shard of the key's digest; documents can
 be added and taken away again, and the filters follow. What a filter holds wrongly is
 found by asking it for every other key of the reference table, so its answers are exact.
 """
@@ -103,8 +103,12 @@ class CuckooFilter:
                     break
 
 
-def references(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(digest, refs): in how many rows each line key stands; counted in every batch, then in every task, before the shuffle."""
+def references(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(digest, refs): in how many documents each line key stands; counted in every batch, then in every task, before the shuffle.
+
+    All rows of one id are one document, a row without an id is one of its own. Only rows
+    whose id is repeated send their keys with the id, and each is counted once.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,32 +121,81 @@ def references(docs: DataFrame, text_col: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([digest(k) for k in found], pa.binary()), pa.array(list(found.values()), pa.int64())], ["digest", "refs"])
 
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(count, "digest binary, refs long").groupBy("digest").agg(F.sum("refs").alias("refs"))
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in few(batches):
+            keys = [{k for k in line_keys(t) if k} for t in batch.column(1).to_pylist()]
+            of = batch.column(0).take(pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys])))
+            yield pa.RecordBatch.from_arrays([of, pa.array([digest(k) for own in keys for k in own], pa.binary())], ["doc_id", "digest"])
+
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    again = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    again = settled(again, "line-repeated-ids")
+    known = T.StructType([rows.schema["doc_id"], T.StructField("digest", T.BinaryType())])
+    if again.isEmpty():
+        return rows.select("text").mapInArrow(count, "digest binary, refs long").groupBy("digest").agg(F.sum("refs").alias("refs"))
+    single = rows.join(again, "doc_id", "left_anti").select("text").mapInArrow(count, "digest binary, refs long")
+    repeated = rows.join(again, "doc_id", "left_semi").mapInArrow(named, known).distinct().select("digest", F.lit(1).cast("long").alias("refs"))
+    return single.unionByName(repeated).groupBy("digest").agg(F.sum("refs").alias("refs"))
+
+
+def inventory(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, alone, n, print): the documents as they are told apart; alone is the text's hash where there is no id."""
+    mark = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.when(F.col(id_col).isNull(), mark).alias("alone"), mark.alias("mark"))
+    return rows.groupBy("doc_id", "alone").agg(F.count("*").alias("n"), F.sum(F.col("mark").cast("decimal(38,0)")).alias("print"))
 
 
 @dataclass
 class LineIndex:
-    """refs (shard, digest, refs) and filters (shard, data): the state after some inserts and deletes."""
+    """refs (shard, digest, refs) and filters (shard, data): the state after some inserts and deletes; documents: what is in it."""
 
     refs: DataFrame
     filters: DataFrame
+    documents: DataFrame
     shards: int
     min_docs: int
 
     @classmethod
-    def of(cls, docs: DataFrame, text_col: str = "text", min_docs: int = 10, shards: int = 64) -> LineIndex:
-        refs = settled(_sharded(references(docs, text_col), shards), "line-refs")
-        return cls(refs, settled(_built(refs.where(F.col("refs") >= min_docs)), "line-filters"), shards, min_docs)
+    def of(cls, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10, shards: int = 64) -> LineIndex:
+        """The index of a table; the list of its documents is made when the first change asks for it."""
+        refs = settled(_sharded(references(docs, id_col, text_col), shards), "line-refs")
+        return cls(refs, settled(_built(refs.where(F.col("refs") >= min_docs)), "line-filters"), inventory(docs, id_col, text_col), shards, min_docs)
 
-    def insert(self, docs: DataFrame, text_col: str = "text") -> LineIndex:
-        return self._changed(docs, text_col, 1)
+    def insert(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LineIndex:
+        """Adds documents. An id that is in the index already raises ValueError, and nothing changes."""
+        return self._changed(docs, id_col, text_col, 1)
 
-    def delete(self, docs: DataFrame, text_col: str = "text") -> LineIndex:
-        """Takes documents away that were inserted before; counts that reach nought leave the table."""
-        return self._changed(docs, text_col, -1)
+    def delete(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LineIndex:
+        """Takes documents away that were inserted before; counts that reach nought leave the table.
 
-    def _changed(self, docs: DataFrame, text_col: str, sign: int) -> LineIndex:
-        change = _sharded(references(docs, text_col), self.shards).select("shard", "digest", (F.col("refs") * sign).alias("more"))
+        A document that is not in the index, or not with these rows, raises ValueError and
+        nothing changes: taking it away would leave counts that no insert can mend.
+        """
+        return self._changed(docs, id_col, text_col, -1)
+
+    def _documents(self, docs: DataFrame, id_col: str, text_col: str, sign: int) -> DataFrame:
+        """The documents after a change; ValueError if they do not allow it."""
+        known, change = settled(self.documents, "line-documents"), settled(inventory(docs, id_col, text_col), "line-change")
+        same = known["doc_id"].eqNullSafe(change["doc_id"]) & known["alone"].eqNullSafe(change["alone"])
+        both = known.join(change, same, "full").select(
+            F.coalesce(known["doc_id"], change["doc_id"]).alias("doc_id"), F.coalesce(known["alone"], change["alone"]).alias("alone"),
+            *(F.coalesce(side[c], F.lit(0)).alias(f"{name}_{c}") for name, side in (("was", known), ("more", change)) for c in ("n", "print")))
+        touched = F.col("more_n") > 0
+        if sign > 0:
+            wrong = F.col("doc_id").isNotNull() & (F.col("was_n") > 0)
+        else:
+            whole = (F.col("was_n") == F.col("more_n")) & (F.col("was_print") == F.col("more_print"))
+            wrong = F.when(F.col("doc_id").isNull(), F.col("was_n") < F.col("more_n")).otherwise(~whole)
+        after = settled(both.select("*", (touched & wrong).alias("wrong")), "line-documents")
+        refused = after.where("wrong").count()
+        if refused:
+            raise ValueError(f"{refused} documents are {'in the index already' if sign > 0 else 'not in the index with these rows'}")
+        n, mark = F.col("was_n") + sign * F.col("more_n"), F.col("was_print") + sign * F.col("more_print")
+        return after.select("doc_id", "alone", n.alias("n"), mark.cast("decimal(38,0)").alias("print")).where("n > 0")
+
+    def _changed(self, docs: DataFrame, id_col: str, text_col: str, sign: int) -> LineIndex:
+        documents = self._documents(docs, id_col, text_col, sign)
+        change = _sharded(references(docs, id_col, text_col), self.shards).select("shard", "digest", (F.col("refs") * sign).alias("more"))
         both = self.refs.select("shard", "digest", F.col("refs").alias("was"), F.lit(0).cast("long").alias("more")).unionByName(
             change.withColumn("was", F.lit(0).cast("long")).select("shard", "digest", "was", "more"))
         after = settled(both.groupBy("shard", "digest").agg(F.sum("was").alias("was"), (F.sum("was") + F.sum("more")).alias("refs")), "line-refs")
@@ -161,7 +214,7 @@ class LineIndex:
         refs = after.where("refs > 0").select("shard", "digest", "refs")
         full = filters.where("data IS NULL").select("shard")  # no more rows than shards
         rebuilt = _built(refs.where(F.col("refs") >= least).join(F.broadcast(full), "shard", "left_semi"))
-        return LineIndex(refs, filters.where("data IS NOT NULL").unionByName(rebuilt), self.shards, least)
+        return LineIndex(refs, filters.where("data IS NOT NULL").unionByName(rebuilt), documents, self.shards, least)
 
     def frequent(self) -> DataFrame:
         return self.refs.where(F.col("refs") >= self.min_docs).select("digest")
@@ -227,12 +280,15 @@ class LineIndex:
         return rows.mapInArrow(drop, _schema(rows))
 
     def _joined(self, rows: DataFrame) -> DataFrame:
-        """What to drop depends on the text alone, so its places travel by a digest of the text."""
+        """What to drop depends on the text alone, so its places travel by a digest of the text.
+
+        Of the lines only digests are shuffled; texts are, once, to meet their places.
+        """
 
         def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in few(batches):
                 of, at, digests = [], [], []
-                for text in batch.column(0).to_pylist():
+                for text in set(batch.column(0).to_pylist()):
                     name = digest(text.encode("utf-8", "surrogatepass"))
                     for i, key in enumerate(line_keys(text)):
                         of.append(name), at.append(i), digests.append(digest(key))
@@ -251,7 +307,7 @@ class LineIndex:
                 hit = np.array([i in g for ks, g in zip(keys, gone, strict=True) for i in range(len(ks))], bool)
                 yield _result(batch.column(0), texts, keys, hit)
 
-        lines = rows.select("text").distinct().mapInArrow(spread, "of binary, at int, digest binary")
+        lines = rows.select("text").mapInArrow(spread, "of binary, at int, digest binary")
         places = lines.join(self.frequent(), "digest", "left_semi").groupBy("of").agg(F.collect_set("at").alias("gone"))
         key = T.StructType([rows.schema["doc_id"], T.StructField("text", T.StringType()), T.StructField("of", T.BinaryType())])
         return rows.mapInArrow(named, key).join(places, "of", "left").select("doc_id", "text", "gone").mapInArrow(drop, _schema(rows))
@@ -297,9 +353,9 @@ def _built(keys: DataFrame) -> DataFrame:
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10, shards: int = 64, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """doc_id, n_lines, n_dropped, kept_text: lines whose key stands in at least min_docs rows are dropped everywhere.
+    """doc_id, n_lines, n_dropped, kept_text: lines whose key stands in at least min_docs documents are dropped everywhere.
 
-    Null and empty texts are one empty line, which stays. A row repeated under the same
-    id counts as another document. An empty table gives no rows; other columns are not read.
+    Null and empty texts are one empty line, which stays. All rows of one id are one
+    document, whatever their texts; a row without an id is one of its own. An empty table gives no rows; other columns are not read.
     """
-    return LineIndex.of(docs, text_col, min_docs, shards).drop_lines(docs, id_col, text_col, broadcast_bytes)
+    return LineIndex.of(docs, id_col, text_col, min_docs, shards).drop_lines(docs, id_col, text_col, broadcast_bytes)
