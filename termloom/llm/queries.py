@@ -45,7 +45,7 @@ def op3_count_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(table(spark, sf_dir, "documents"), share=0.8).drop("blocks")
+    return licenses.scan(table(spark, sf_dir, "documents"), percent=80).drop("blocks")
 
 
 def op5_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
