@@ -32,7 +32,7 @@ CASE_SENSITIVE_NO_STEM = "contents.case_sensitive_no_stem"
 FIELDS = (ENGLISH, CASE_SENSITIVE, NO_STEM, CASE_SENSITIVE_NO_STEM)
 
 _LOWER = {ENGLISH, NO_STEM}
-_STEMMED = {ENGLISH, CASE_SENSITIVE}
+STEMMED = {ENGLISH, CASE_SENSITIVE}
 
 # Words by the Unicode text segmentation rules (UAX #29): letters may be joined
 # by one of : ' . and digits by one of , ; ' . ; ideographs and hiragana stand
@@ -92,7 +92,7 @@ def analyze_sql(field: str, words: str, stop_words: Sequence[str] = STOP_WORDS)
 
     ``words`` are in lower case already where the form wants them so.
     """
-    if field not in _STEMMED:
+    if field not in STEMMED:
         return f"transform({words}, t -> {mask_stop_word_sql('t', stop_words)})"
 
     # Few tokens end in s, so the possessive and what follows from it are kept
@@ -160,7 +160,7 @@ def searchable_sql(
     stemmed forms are masked in full.
     """
     source = lowered if field in _LOWER else words
-    return analyze_sql(field, source, stop_words) if field in _STEMMED else source
+    return analyze_sql(field, source, stop_words) if field in STEMMED else source
 
 
 def is_lower(field: str) -> bool:
@@ -198,3 +198,23 @@ def word_regex_match(text: Column, term: Column, regex_terms: bool = False) -> C
         F.lit("\\Q"), F.replace(term, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E")
     )
     return F.rlike(text, F.concat(F.lit("(?iU)\\b"), body, F.lit("\\b")))
+
+
+def case_folded(text: Column) -> Column:
+    """``text`` such that two texts a case-insensitive expression takes for one another become equal.
+
+    Characters are compared one by one there, so what depends on a neighbour (a sigma at
+    the end of a word, the dot of a capital i) is made alike.
+    """
+    return F.translate(F.lower(F.upper(text)), "ς\u0307", "σ")
+
+
+def required_literal(term: str) -> Column:
+    """The longest run of plain characters that every match of an expression holds; empty where none is sure.
+
+    Expressions with groups, classes, alternatives, counts or escapes have none here.
+    """
+    plain = ~F.col(term).rlike(r"[|()\[\]{}\\]")
+    runs = F.split(F.regexp_replace(term, r"(?s).[*?][+?]?", "\u0001"), "[\u0001.^$+]")
+    longest = F.aggregate(runs, F.lit(""), lambda best, run: F.when(F.length(run) > F.length(best), run).otherwise(best))
+    return F.when(plain, longest).otherwise(F.lit(""))

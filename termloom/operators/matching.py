@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from termloom.functions import text as T
 from termloom.operators import phrase
+from termloom.operators.postings import MOST_PHRASES, count_by_postings
+from termloom.sources.scratch import settle
 
 
 def instant(value: dt.datetime | dt.date) -> Column:
@@ -59,11 +61,27 @@ def compile_queries(
     return phrase.compile_terms(entries, "entry", broadcast_bytes=broadcast_bytes)
 
 
+def _read_counts(docs: DataFrame, phrases: phrase.Phrases, analyzed: DataFrame | None) -> DataFrame:
+    """The counts of all phrases by reading every document, or its kept forms."""
+    if analyzed is not None:
+        # There are four forms at most.
+        forms = {row["field"] for row in analyzed.select("field").distinct().collect()}
+        if forms and not forms.issuperset(phrases.fields):
+            raise ValueError(f"analyzed documents lack {sorted(set(phrases.fields) - forms)}")
+        analyzed = analyzed.where(F.col("field").isin(phrases.fields))
+    else:
+        analyzed = phrase.analyze_documents(docs, phrases.fields or [T.ENGLISH], reused=True)
+    # The test is always true. It keeps the count in all three readers of the
+    # counts, so that their shuffles are the same and the text is read once.
+    return phrase.count_phrases(analyzed, phrases).where(F.col("hits") > 0)
+
+
 def match_queries(
     docs: DataFrame,
     phrases: phrase.Phrases,
     keys: Sequence[str] = ("dict_id", "term"),
     analyzed: DataFrame | None = None,
+    postings: DataFrame | None = None,
 ) -> DataFrame:
     """(docid, keys, classification, hits, hierarchy_present) for every match.
 
@@ -75,19 +93,16 @@ def match_queries(
     then looked up once more, by document and gram, for the entries of matched
     terms only, so an entry shared by many terms costs nothing where its term
     does not occur.
+
+    With ``postings`` a dictionary of moderate size is looked up in them and no text is
+    read; a larger one is matched as if they were not there.
     """
     keys = list(keys)
-    if analyzed is not None:
-        # There are four forms at most.
-        forms = {row["field"] for row in analyzed.select("field").distinct().collect()}
-        if forms and not forms.issuperset(phrases.fields):
-            raise ValueError(f"analyzed documents lack {sorted(set(phrases.fields) - forms)}")
-        analyzed = analyzed.where(F.col("field").isin(phrases.fields))
+    if postings is not None and phrases.number <= MOST_PHRASES:
+        # Only what matched, and read up to three times.
+        counts = settle(count_by_postings(postings, phrases))
     else:
-        analyzed = phrase.analyze_documents(docs, phrases.fields or [T.ENGLISH], reused=True)
-    # The test is always true. It keeps the count in all three readers of the
-    # counts, so that their shuffles are the same and the text is read once.
-    counts = phrase.count_phrases(analyzed, phrases).where(F.col("hits") > 0)
+        counts = _read_counts(docs, phrases, analyzed)
 
     is_term = F.col("entry") == F.col("term")
     lone = F.forall("classification", lambda entry: entry == F.col("term"))
@@ -125,6 +140,7 @@ def match_terms_to_docs(
     from_date: dt.datetime | dt.date | None = None,
     analyzed: DataFrame | None = None,
     broadcast_bytes: int | None = None,
+    postings: DataFrame | None = None,
 ) -> DataFrame:
     """``terms_docs`` rows for whole dictionaries, ready for the upsert.
 
@@ -132,15 +148,17 @@ def match_terms_to_docs(
     classification decides the flag.
 
     ``analyzed`` is a stored table of ``analyze_documents`` to be read instead of
-    the texts. It must hold every form that the dictionaries ask for and, for a
-    ``from_date``, the documents' ``time``.
+    the texts, ``postings`` one of ``build_postings`` to look terms up in. They must hold
+    every form that the dictionaries ask for and, for a ``from_date``, the documents'
+    ``time``.
     """
     if from_date is not None:
         docs = docs.where(since(from_date))
         analyzed = None if analyzed is None else analyzed.where(since(from_date))
+        postings = None if postings is None else postings.where(since(from_date))
     one_each = dict_terms.groupBy("dict_id", "term").agg(F.max("classification").alias("classification"))
     phrases = compile_queries(with_field(one_each, dictionaries), broadcast_bytes=broadcast_bytes)
-    rows = match_queries(docs, phrases, analyzed=analyzed)
+    rows = match_queries(docs, phrases, analyzed=analyzed, postings=postings)
     return rows.select(
         "term", "docid", "hits", stamp(as_of).alias("last_updated"), "hierarchy_present",
         "dict_id", F.lit(False).alias("from_percolation"),
@@ -154,6 +172,7 @@ def catch_up(
     as_of: dt.datetime | None = None,
     broadcast_bytes: int | None = None,
     analyzed: DataFrame | None = None,
+    postings: DataFrame | None = None,
 ) -> DataFrame:
     """``terms_docs`` rows from the documents since each term's own ``last_updated``.
 
@@ -166,7 +185,7 @@ def catch_up(
         F.bool_and(F.col("_since").isNotNull()).alias("dated"), F.to_date(F.min("_since")).alias("since")
     ).first()
     from_date = oldest["since"] if oldest["dated"] else None
-    rows = match_terms_to_docs(dict_terms, dictionaries, docs, as_of, from_date, analyzed, broadcast_bytes)
+    rows = match_terms_to_docs(dict_terms, dictionaries, docs, as_of, from_date, analyzed, broadcast_bytes, postings)
     times = docs.select("docid", "time")
     if from_date is not None:
         times = times.where(since(from_date))

@@ -26,13 +26,16 @@ from pyspark.sql import functions as F
 
 from termloom.functions import text as T
 from termloom.operators.bounds import fits_broadcast, maybe_among, salted_join, spread
-from termloom.sources.scratch import settle
+from termloom.sources.scratch import scratch_path, settle
 
-_SEP = "\u0001"
+SEPARATOR = "\u0001"
 
 # Shapes that are tried at every lead of a text.
 MAX_SHAPES = 512
 
+# Up to so many shapes are spelled out in the plan, as bits of a number for each lead.
+SPELLED_SHAPES = 24
+
 
 def analyze_documents(
     docs: DataFrame,
@@ -85,6 +88,9 @@ class Phrases:
     longest: int
     small: bool
     few_shapes: bool = True
+    number: int = 0
+    path: str | None = None
+    shapes: tuple[str, ...] | None = None
 
 
 def compile_phrases(phrases: DataFrame, tokens: Column, broadcast_bytes: int | None = None) -> Phrases:
@@ -104,13 +110,14 @@ def compile_phrases(phrases: DataFrame, tokens: Column, broadcast_bytes: int | N
             *kept, "lead", "offsets",
             (F.try_element_at("offsets", F.lit(-1)) + 1).alias("span"),
             F.array_join(F.transform("offsets", lambda o: o.cast("string")), ",").alias("shape"),
-            F.array_join("_toks", _SEP).alias("_words"),
+            F.array_join("_toks", SEPARATOR).alias("_words"),
         )
-        .select(*kept, "lead", "offsets", "span", "shape", F.concat_ws(_SEP, "shape", "_words").alias("gram"))
+        .select(*kept, "lead", "offsets", "span", "shape", F.concat_ws(SEPARATOR, "shape", "_words").alias("gram"))
     )
     # Counted while the rows are written: whatever a join may broadcast is part
     # of a row, so the rows' own size bounds it.
     seen = Observation()
+    path = scratch_path(phrases.sparkSession, "settled")
     rows = settle(
         rows.observe(
             seen,
@@ -118,12 +125,16 @@ def compile_phrases(phrases: DataFrame, tokens: Column, broadcast_bytes: int | N
             F.sum(F.octet_length(F.to_json(F.struct("*"))) + 64).alias("bytes"),
             F.max("span").alias("longest"),
             *[F.count_if(F.col("field") == name).alias(name) for name in T.FIELDS],
-        )
+        ),
+        path,
     )
     found = seen.get
     small = fits_broadcast(found["rows"], found["bytes"] or 0, broadcast_bytes)
-    few_shapes = True
-    if not small:
+    few_shapes, spelled = True, None
+    if small:
+        some = [row["shape"] for row in rows.select("shape").distinct().limit(SPELLED_SHAPES + 1).collect()]
+        spelled = tuple(sorted(some)) if len(some) <= SPELLED_SHAPES else None
+    else:
         shapes = rows.select("field", "shape").distinct().agg(
             F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("shape") + 64).alias("bytes")
         ).first()
@@ -134,6 +145,9 @@ def compile_phrases(phrases: DataFrame, tokens: Column, broadcast_bytes: int | N
         longest=found["longest"] or 1,
         small=small,
         few_shapes=few_shapes,
+        number=found["rows"],
+        path=path,
+        shapes=spelled,
     )
 
 
@@ -160,6 +174,8 @@ def find_phrases(
     ``context`` words after the match come along as ``snippet``. The rows are
     the same whether the phrases are broadcast or not.
     """
+    if phrases.shapes and context is None:
+        return _find_spelled(analyzed, phrases, ids)
     by_lead = phrases.small or not phrases.few_shapes
     keys = ["field", "lead"] if by_lead else ["field"]
     leads = phrases.rows.groupBy(*keys).agg(
@@ -196,8 +212,8 @@ def find_phrases(
         )
         tried = salted_join(placed, leads, keys, [*ids, "pos"])
     tried = tried.select(*ids, "field", "pos", *words, "toks", F.explode("shapes").alias("shape"))
-    own = F.array_join(F.transform("shape.offsets", lambda o: F.get("toks", o)), _SEP)
-    gram = F.concat_ws(_SEP, F.col("shape.shape"), own).alias("gram")
+    own = F.array_join(F.transform("shape.offsets", lambda o: F.get("toks", o)), SEPARATOR)
+    gram = F.concat_ws(SEPARATOR, F.col("shape.shape"), own).alias("gram")
     length = F.col("pos") - before + F.try_element_at("shape.offsets", F.lit(-1)) + 1 + around
     snippet = [] if context is None else [
         F.array_join(F.slice("words", F.lit(1), length), " ").alias("snippet")
@@ -210,6 +226,28 @@ def find_phrases(
     return salted_join(found, grams, ["field", "gram"], [*ids, "pos"], "left_semi")
 
 
+def _find_spelled(analyzed: DataFrame, phrases: Phrases, ids: Sequence[str]) -> DataFrame:
+    """``find_phrases`` for few shapes: the grams of a position are plain expressions, built in one pass."""
+    bit = F.lit(0)
+    for k, shape in enumerate(phrases.shapes):
+        bit = F.when(F.col("shape") == shape, 1 << k).otherwise(bit)
+    leads = phrases.rows.groupBy("field", "lead").agg(F.bit_or(bit).alias("mask"))
+    # The outer form keeps Catalyst from testing the array first, which would
+    # tokenize every text a second time; the join drops its extra null rows.
+    placed = analyzed.select(*ids, "field", "toks", F.posexplode_outer("toks").alias("pos", "lead"))
+    tried = placed.join(F.broadcast(leads), ["field", "lead"])
+    grams = []
+    for k, shape in enumerate(phrases.shapes):
+        words = [F.col("lead"), *(F.get("toks", F.col("pos") + int(offset)) for offset in shape.split(",")[1:])]
+        grams.append(F.when(F.col("mask").bitwiseAND(1 << k) != 0, F.concat_ws(SEPARATOR, F.lit(shape), *words)))
+    if len(grams) == 1:
+        found = tried.select(*ids, "field", "pos", grams[0].alias("gram"))
+    else:
+        found = tried.select(*ids, "field", "pos", F.explode(F.array(*grams)).alias("gram"))
+    known = phrases.rows.select("field", "gram").distinct()
+    return found.join(F.broadcast(known), ["field", "gram"], "left_semi")
+
+
 def count_phrases(analyzed: DataFrame, phrases: Phrases, ids: Sequence[str] = ("docid",)) -> DataFrame:
     """(ids, field, gram, hits): how often each phrase starts in each document."""
     found = find_phrases(analyzed, phrases, ids)

@@ -20,8 +20,8 @@ def scratch_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
-        return folder
-    if not context.master.startswith("local"):
+        return folder  # shared or not is the cluster's word: a file: folder may well be a mount
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _local:
         _local[context.applicationId] = tempfile.mkdtemp(prefix="run-")
@@ -32,11 +32,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder once and read it back from there.
 
     For small tables that a job reads many times; it also cuts their lineage.
     """
-    path = scratch_path(df.sparkSession, "settled")
+    path = path or scratch_path(df.sparkSession, "settled")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
