@@ -23,7 +23,12 @@ PAIR = ["term", "classification"]
 
 @dataclass(frozen=True)
 class Tables:
-    """The tables that a dictionary is spread over."""
+    """The tables that a dictionary is spread over.
+
+    A change also says what it deletes: ``gone`` are (dict_id, term) whose matches go,
+    ``lost`` the terms whose sentence rows go. Whoever keeps those tables in a way that
+    rows can be hidden needs no rewriting.
+    """
 
     dictionaries: DataFrame
     dict_terms: DataFrame
@@ -31,6 +36,8 @@ class Tables:
     terms_docs_sentences: DataFrame
     stored_queries: DataFrame
     subset_meta: DataFrame | None = None
+    gone: DataFrame | None = None
+    lost: DataFrame | None = None
 
 
 def incoming_pairs(terms: DataFrame) -> DataFrame:
@@ -123,6 +130,8 @@ def delete_terms(tables: Tables, doomed: DataFrame, whole_terms: bool = False) -
         terms_docs=delete_rows(tables.terms_docs, terms, keys),
         terms_docs_sentences=delete_rows(tables.terms_docs_sentences, lost, ["term"]),
         stored_queries=stored,
+        gone=terms,
+        lost=lost,
     )
 
 

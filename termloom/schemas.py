@@ -22,6 +22,7 @@ TERMS_DOCS_SENTENCES = "term string, docid string, sentid int, snippets string"
 SENTENCES = "docid string, sentid int, words array<string>, nlp_type string"
 SUBSET = "docid string, sentid int"
 SUBSET_META = "dict_id int, subset_name string"
+DELETED_TERMS = "dict_id int, term string, deleted timestamp"
 STORED_QUERIES = "id string, dict_id int, term string, classification array<string>, field string"
 
 TERMS_DOCS_KEYS = ["dict_id", "term", "docid"]
