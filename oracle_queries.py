@@ -409,6 +409,14 @@ ORACLES = {
         UNION ALL SELECT term, docid, hits, hierarchy_present, dict_id, false FROM s_found
         ANTI JOIN streamed USING (dict_id, term, docid)""",
     "match_kept_form": f"{FOUND_SINCE} SELECT dict_id, term, docid, hits, hierarchy_present FROM found",
+    "corpus_match": f"{FOUND} SELECT dict_id, term, docid, hits, hierarchy_present FROM found",
+    "corpus_fix_freshness": f"{FOUND} SELECT dict_id, term, docid, hits, hierarchy_present FROM found WHERE dict_id = 1",
+    "corpus_fold": f"""WITH {match_ctes(FIXTURE, DOCS, FIELDS)}, {match_ctes(FIXTURE, RECENT, FIELDS, 's_')},
+        streamed AS (SELECT * FROM found WHERE coalesce(hierarchy_present, true) AND NOT (dict_id = 1 AND term = 'hehely')),
+        newer AS (SELECT * FROM s_found WHERE dict_id = 1 AND term <> 'hehely')
+        SELECT term, docid, hits, hierarchy_present, dict_id, false AS from_percolation FROM newer
+        UNION ALL SELECT term, docid, hits, hierarchy_present, dict_id, true FROM streamed
+        ANTI JOIN newer USING (dict_id, term, docid)""",
     "doc_exists": """SELECT DISTINCT doc_id * 3 AS docid, doc_id * 3 IN (SELECT doc_id FROM documents) AS found FROM labels""",
     "scan_matching": "SELECT doc_id AS docid FROM documents WHERE source = 'src3' ORDER BY doc_id LIMIT 50",
     "sample_terms_hash": sampled(PARTS, "80000000", 5, "brand"),

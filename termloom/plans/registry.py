@@ -13,11 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.functions import text as T
-from termloom.operators import catalog, matching, phrase, quality, subsets, terms, upsert
+from termloom.operators import catalog, matching, phrase, postings, quality, subsets, terms, upsert
 from termloom.operators.bounds import spread
 from termloom.operators.sentences import match_sentences
 from termloom.operators.terms import Tables
 from termloom.plans import derived
+from termloom.plans.corpus import Corpus
 from termloom.sources import files, tables
 from termloom.sources.scratch import scratch_path
 from termloom.streaming import percolate as P
@@ -384,17 +385,21 @@ def percolate_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.matching_ids(P.percolate(derived.articles(spark, sf_dir), stored)).select("docid", _list("ids"))
 
 
-def _streamed(spark: SparkSession, sf_dir: str) -> str:
-    """All documents as a stream of files; the log of their matches."""
+def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as a stream of files."""
     schema = derived.read(spark, sf_dir, "documents").schema
-    arriving = (
+    return (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000)
         .parquet(f"{sf_dir}/documents*.parquet")
         .select(F.col("doc_id").alias("docid"), F.col("text").alias("contents"))
     )
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> str:
+    """The log of a stream's matches."""
     log = scratch_path(spark, "percolated")
     P.percolate_stream(
-        arriving, _fixture_queries(spark), log, scratch_path(spark, "offsets"), AS_OF
+        _arriving(spark, sf_dir), _fixture_queries(spark), log, scratch_path(spark, "offsets"), AS_OF
     ).awaitTermination()
     return log
 
@@ -417,17 +422,75 @@ def fold_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def match_kept_form(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Matches since a date from analysed documents that were written before."""
+    """Matches since a date, looked up in postings that were written before."""
     docs = derived.articles(spark, sf_dir)
-    kept = scratch_path(spark, "analyzed")
-    phrase.analyze_documents(docs, T.FIELDS, carried=["time"]).write.partitionBy("field").parquet(kept)
+    forms, kept = scratch_path(spark, "analyzed"), scratch_path(spark, "postings")
+    phrase.analyze_documents(docs, T.FIELDS, carried=["time"]).write.partitionBy("field").parquet(forms)
+    postings.build_postings(spark.read.parquet(forms)).write.partitionBy("field", "bucket").parquet(kept)
     rows = matching.match_terms_to_docs(
         derived.fixture_terms(spark), derived.fixture_dictionaries(spark), docs, AS_OF, SINCE,
-        analyzed=spark.read.parquet(kept),
+        postings=spark.read.parquet(kept),
     )
     return rows.select("dict_id", "term", "docid", "hits", "hierarchy_present")
 
 
+# A corpus
+
+
+def _corpus(spark: SparkSession, sf_dir: str) -> tuple[Corpus, DataFrame]:
+    """A corpus of its own with the fixture dictionaries, and the documents that it may index."""
+    path = scratch_path(spark, "corpus")
+    name = path.rpartition("/")[2].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
+    corpus = Corpus(spark, name)
+    own, dictionaries = derived.fixture_terms(spark), derived.fixture_dictionaries(spark)
+    corpus.save({
+        "dictionaries": dictionaries, "dict_terms": own,
+        "stored_queries": terms.register_queries(derived.no_stored_queries(spark), own, dictionaries),
+    })
+    docs = derived.articles(spark, sf_dir).select(F.col("docid").cast("string").alias("docid"), "contents", "time")
+    return corpus, docs
+
+
+def _stored(corpus: Corpus) -> DataFrame:
+    return corpus.table("terms_docs").withColumn("docid", F.col("docid").cast("long"))
+
+
+def corpus_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents indexed in two parts, of which the second replaces some of the first, then matched."""
+    corpus, docs = _corpus(spark, sf_dir)
+    corpus.index_documents(docs.where(F.col("time") < SINCE).withColumn("contents", F.lower("contents")))
+    corpus.index_documents(docs)
+    for _, name, _, _ in derived.FIXTURE_DICTIONARIES:
+        corpus.match_documents(name, as_of=AS_OF)
+    return _stored(corpus).select("dict_id", "term", "docid", "hits", "hierarchy_present")
+
+
+def corpus_fix_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches of old documents, brought up to date when the check finds more."""
+    corpus, docs = _corpus(spark, sf_dir)
+    corpus.index_documents(docs.where(F.col("time") < SINCE))
+    corpus.match_documents("phrases", as_of=AS_OF)
+    corpus.index_documents(docs.where(F.col("time") >= SINCE))
+    corpus.check_freshness("phrases", fix=True, as_of=AS_OF)
+    return _stored(corpus).select("dict_id", "term", "docid", "hits", "hierarchy_present")
+
+
+def corpus_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream's log folded into newer matches of one dictionary, of which a term was deleted meanwhile."""
+    corpus, docs = _corpus(spark, sf_dir)
+    corpus.index_documents(docs)
+    log = scratch_path(spark, "percolated")
+    P.percolate_stream(
+        _arriving(spark, sf_dir).withColumn("docid", F.col("docid").cast("string")), corpus.table("stored_queries"),
+        log, scratch_path(spark, "offsets"), AS_OF,
+    ).awaitTermination()
+    corpus.match_documents("phrases", from_date=SINCE, as_of=AS_OF + dt.timedelta(days=1))
+    corpus.delete_term(1, "hehely")
+    corpus.fold_log(log)
+    return _stored(corpus).select(*_PERCOLATED)
+
+
 # Lookups and quality
 
 
@@ -530,6 +593,9 @@ QUERIES = {
     "percolate_stream": percolate_stream,
     "fold_stream": fold_stream,
     "match_kept_form": match_kept_form,
+    "corpus_match": corpus_match,
+    "corpus_fix_freshness": corpus_fix_freshness,
+    "corpus_fold": corpus_fold,
     "doc_exists": doc_exists,
     "scan_matching": scan_matching,
     "sample_terms_hash": sample_terms_hash,
