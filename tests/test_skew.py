@@ -54,15 +54,23 @@ def test_subset_splits_a_hot_document(spark, small_partitions, lines):
     assert df.count() == 60000
 
 
-def test_regex_sentences_split_a_hot_document(spark, small_partitions, lines):
-    own = spark.createDataFrame([("sha+le",)], "term string")
-    pairs = known(spark).withColumn("term", F.lit("sha+le"))
+@pytest.fixture
+def one_plan(monkeypatch):
+    """What is found is not written in between, so that one plan shows all joins."""
+    monkeypatch.setattr(sentences, "settle", lambda rows: rows)
+
+
+# Sentences with "shal" and a term with it; the second has no characters that it needs.
+@pytest.mark.parametrize("term", ["sha+le", "(sha)+le"])
+def test_regex_sentences_split_a_hot_document(spark, small_partitions, lines, one_plan, term):
+    own = spark.createDataFrame([(term,)], "term string")
+    pairs = known(spark).withColumn("term", F.lit(term))
     df = sentences.match_sentences(lines, pairs, own, pairs.limit(0), regex_terms=True)
     assert "skew=true" in final_plan(df, lambda d: d.collect())
     assert df.count() == 60000
 
 
-def test_literal_sentences_reduce_a_hot_term(spark, small_partitions, lines):
+def test_literal_sentences_reduce_a_hot_term(spark, small_partitions, lines, one_plan):
     own = spark.createDataFrame([("shale",)], "term string")
     df = sentences.match_sentences(lines, known(spark), own, known(spark).limit(0))
     assert "skew=true" in final_plan(df, lambda d: d.collect())
