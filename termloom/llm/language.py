@@ -13,13 +13,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.shared import held_out
+from termloom.llm.shared import held_out, lowest
 
-PIECE, LEVEL = 2048, 9
-NO_LETTERS = re.compile(r"[\W\d_]+")
+PIECE, LEVEL = 2048, 5
 LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
 
@@ -34,11 +33,10 @@ def fit(docs: DataFrame, folds: int = 4, fold: int = 2, docs_per_lang: int = 400
     rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     known = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0) & ~held_out(F.col("key"), folds, fold))
     mark = F.xxhash64("key", F.lit(1))
-    order = Window.partitionBy("lang").orderBy("mark", "key")
-    chosen = known.select("key", "lang", mark.alias("mark")).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= docs_per_lang)
+    chosen = lowest(known.select("key", "lang", mark.alias("mark")), "lang", docs_per_lang)
     share = F.lit(max(64, dictionary_bytes // docs_per_lang))
     # a fixed number of rows for each language
-    texts = known.join(F.broadcast(chosen.select("key", "lang", "mark")), ["key", "lang"])
+    texts = known.join(F.broadcast(chosen.distinct()), ["key", "lang"])
     at = F.pmod("mark", F.greatest(F.lit(1), F.length("text") - share + 1)).cast("int") + 1
     pieces = texts.select("lang", "mark", F.substring("text", at, share).alias("piece")).orderBy("lang", "mark", "piece").collect()
     found: dict[str, list[str]] = {}
@@ -53,8 +51,8 @@ def fit(docs: DataFrame, folds: int = 4, fold: int = 2, docs_per_lang: int = 400
 
 
 def normal(text: str) -> bytes:
-    """The distinct lowered words of a text in their order; repeats tell nothing new about a language."""
-    return " ".join(dict.fromkeys(NO_LETTERS.split(text.lower()))).encode("utf-8", "surrogatepass")
+    """The text itself, in lower case."""
+    return text.lower().encode("utf-8", "surrogatepass")
 
 
 def compressors(dictionaries: dict[str, bytes]) -> list[zstandard.ZstdCompressor]:
@@ -67,7 +65,7 @@ def compressors(dictionaries: dict[str, bytes]) -> list[zstandard.ZstdCompressor
 
 
 def sizes(text: str, by: list[zstandard.ZstdCompressor]) -> np.ndarray:
-    """Compressed bytes of the whole text's words, by language, in even pieces."""
+    """Compressed bytes of the whole text, by language, in even pieces."""
     data = normal(text)
     pieces = [data[i : i + PIECE] for i in range(0, len(data), PIECE)]
     return np.array([sum(len(c.compress(p)) for p in pieces) for c in by], np.int64)

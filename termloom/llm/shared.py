@@ -6,11 +6,12 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes that a broadcast may have at most; beyond it every operator has another way.
@@ -46,15 +47,34 @@ def labelled_sample(labels: DataFrame, key: str, label: str, folds: int, fold: i
     """At most `rows` training keys per label value, as (key, y); chosen by a hash, the same in every run.
 
     A key with several labels takes the smallest; null keys, null labels and the
-    held-out fold are left out. The limit is applied in each task before the shuffle.
+    held-out fold are left out.
     """
     known = (
         labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("y"))
         .where(F.col("key").isNotNull() & F.col("y").isNotNull() & ~held_out(F.col("key"), folds, fold))
         .groupBy("key").agg(F.min("y").alias("y"))
     )
-    order = Window.partitionBy("y").orderBy(F.xxhash64("key"), "key")
-    return known.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= rows).select("key", "y")
+    return lowest(known.withColumn("mark", F.xxhash64("key")), "y", rows).select("key", "y")
+
+
+def lowest(rows: DataFrame, value: str, most: int) -> DataFrame:
+    """Of each value the `most` rows with the smallest hashes, then keys; rows: (key, mark, value), mark a 64-bit hash of the key.
+
+    The values are few and counted; from their counts follows below which hash the rows
+    that are wanted lie, so what comes together is a little more than that, however many
+    tasks and rows there are.
+    """
+    counts = {r[0]: r[1] for r in rows.groupBy(value).count().collect()}
+    room = 1.5 * most + 64
+    while True:
+        below = {v: int(-(1 << 63) + min(1.0, room / n) * (1 << 64)) - 1 for v, n in counts.items()}
+        near = [rows.where((F.col(value) == v) & (F.col("mark") <= F.lit(min(b, (1 << 63) - 1)))) for v, b in sorted(below.items())]
+        if not near:
+            return rows.limit(0)
+        found = {r[0]: r[1] for r in reduce(DataFrame.unionByName, near).groupBy(value).count().collect()}
+        if all(found.get(v, 0) >= min(n, most) for v, n in counts.items()):
+            return reduce(DataFrame.unionByName, [part.orderBy("mark", "key").limit(most) for part in near])
+        room *= 4
 
 
 def label_shares(labels: DataFrame, key: str, label: str, folds: int, fold: int) -> dict[int, int]:
