@@ -247,7 +247,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5
     """Fitted on at most rows_per_label documents of each label outside the held-out fold.
 
     Labels only build the learned lexicons and, counted over all of them, the prior; the
-    classifier sees posteriors. Without labelled texts the general lexicons alone count.
+    classifier sees posteriors, and all of its weights come from them. Without labelled
+    texts there is nothing to learn from, and every text has the same low score.
     """
     shares = label_shares(labels, id_col, label, folds, fold)
     total = shares.get(0, 0) + shares.get(1, 0)
@@ -256,7 +257,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5
     texts = docs.select(F.col(id_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(sample), "key")
     found = collected(texts)
     if not len(found.y):
-        return _with_general(Model(np.zeros(0, A.U), np.zeros((0, len(SHARES))), -3.0)), None
+        return Model(np.zeros(0, A.U), np.zeros((0, len(SHARES))), -3.0), None
     votes = found.all_votes(found.learned())
     n_toxic = int((found.y == 1).sum())
     label_model = LabelModel.fit(votes, n_toxic / len(votes))
@@ -265,20 +266,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5
     weight = np.where(found.y == 1, prior / max(1, n_toxic), (1 - prior) / max(1, len(votes) - n_toxic)) + 1e-9
     weights, bias = linear(found.rows, posterior, weight, len(found.vocabulary))
     used = np.flatnonzero(weights)
-    return _with_general(Model.of(found.vocabulary[used], weights[used], bias)), label_model
-
-
-def _with_general(model: Model, least: float = 6.0) -> Model:
-    """Insults known beforehand that the sample does not show get the median weight of those that it shows."""
-    listed = sorted({w for k, v in GENERAL.items() if k != "threat" for w in v.split()})
-    known = np.array([next(units(*A.laid_out([w])))[0][0] for w in listed], A.U)
-    shown = np.isin(model.ids, known)
-    weight = float(np.median(model.weights[shown].sum(1))) if shown.any() else least
-    extra = np.setdiff1d(known, model.ids)
-    ids = np.concatenate([model.ids, extra])
-    weights = np.concatenate([model.weights, np.tile([weight, 0.0, 0.0], (len(extra), 1))])
-    order = np.argsort(ids)
-    return Model(ids[order], weights[order], model.bias)
+    return Model.of(found.vocabulary[used], weights[used], bias), label_model
 
 
 def score(docs: DataFrame, model: Model, folds: int = 5, fold: int = 0, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
