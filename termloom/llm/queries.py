@@ -126,6 +126,45 @@ QUERIES = {
 _SPACES = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLES = {
+    "op3_count_vector_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(generate_series(1, len(w) - 3), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s
+            FROM words
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), pairs AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+        ), links AS (
+            SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)
+        ), neighbours AS (
+            SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+        ), reached AS (
+            SELECT doc_id AS id, doc_id AS c FROM documents
+            UNION SELECT neighbours.b, reached.c FROM reached JOIN neighbours ON neighbours.a = reached.id WHERE reached.c < neighbours.b
+        )
+        SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(c) AS component_id
+        FROM reached JOIN documents ON id = documents.doc_id LEFT JOIN sizes USING (doc_id) GROUP BY doc_id""",
+    "op10_benchmark_containment": r"""
+        WITH items AS (
+            SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark
+        ), sized AS (
+            SELECT item_id, w, least(5, len(w)) AS m FROM items WHERE len(w) > 0
+        ), asked AS (
+            SELECT DISTINCT item_id, m, unnest(list_transform(generate_series(1, len(w) - m + 1), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS s FROM sized
+        ), words AS (
+            SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents
+        ), held AS (
+            SELECT DISTINCT doc_id, m, unnest(list_transform(generate_series(1, len(w) - m + 1), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS s
+            FROM words, (SELECT DISTINCT m FROM sized)
+        ), counts AS (
+            SELECT item_id, count(*) AS n FROM asked GROUP BY item_id
+        )
+        SELECT doc_id, item_id, count(*) / any_value(n)::DOUBLE AS containment
+        FROM asked JOIN held USING (m, s) JOIN counts USING (item_id) GROUP BY doc_id, item_id HAVING count(*) >= 0.8 * any_value(n) - 1e-9""",
     "op7_line_dedup": rf"""
         WITH lines AS (
             SELECT doc_id, generate_subscripts(parts, 1) AS place, unnest(parts) AS line

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -14,12 +15,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from termloom.llm import decontaminate, language, licenses, pii, quality, toxicity
+from termloom.llm import arrays as A
 from termloom.llm import jaccard_join as J
 from termloom.llm.exact_dedup import exact_duplicates
 from termloom.llm.line_dedup import CuckooFilter, LineIndex, digest, drop_repeated_lines, halves
 from termloom.llm.packing import bin_plan, cut, pack
 from termloom.llm.queries import ORACLES, QUERIES, tokenizer_file
-from termloom.llm.shared import components
+from termloom.llm.shared import components, labelled_sample
 
 SF = "/root/testdata/sf0.001"
 SPACES = " \t\n\x0b\f\r"
@@ -60,9 +62,10 @@ def test_exact_duplicates_of_hard_rows(spark):
     assert exact_duplicates(hard(spark, True)).count() == 0
 
 
-def test_exact_duplicates_with_a_hot_text(spark):
+@pytest.mark.parametrize("limits", [{"hot_share": 0.01, "salts": 7}, {"hot_share": 0.9, "salts": 1, "hot_rows": 9}])
+def test_exact_duplicates_with_a_hot_text(spark, limits):
     rows = [(i, "same text" if i % 3 == 0 else f"t{i % 50}" + " " * (i % 4)) for i in range(600)]
-    got = {r["doc_id"]: r for r in exact_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), hot_share=0.01, salts=7).collect()}
+    got = {r["doc_id"]: r for r in exact_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), **limits).collect()}
     groups = {}
     for i, t in rows:
         groups.setdefault(t.translate({ord(c): None for c in SPACES}), []).append((-len(t), i))
@@ -90,16 +93,49 @@ def test_line_dedup_both_ways(spark, broadcast_bytes):
 def test_line_dedup_of_hard_rows(spark):
     assert drop_repeated_lines(hard(spark), min_docs=2).count() == len(HARD)
     assert drop_repeated_lines(hard(spark, True)).count() == 0
-    out = LineIndex.of(hard(spark), min_docs=3).rewrite(hard(spark))
+    out = LineIndex.of(hard(spark), min_docs=2).rewrite(hard(spark))
     assert out.columns == hard(spark).columns and out.where("doc_id = 1 AND text IS NULL").count() == 1
-    assert out.where("doc_id = 4 AND text = ''").count() == 2  # three rows have the line, one more differs inside
+    assert out.where("doc_id = 4 AND text = ''").count() == 2  # a row without an id has the line, too, one more differs inside
+    assert LineIndex.of(hard(spark), min_docs=3).rewrite(hard(spark)).where("doc_id = 4 AND text = 'One line'").count() == 2  # two rows of one id are one document
+
+
+def test_line_dedup_counts_documents(spark):
+    """Five documents, each given twice, are five; the registered SQL agrees on repeated ids."""
+    rows = [(i, f"shared\nown {i}") for i in range(5)] * 2 + [(i, "often\n" + ("in one" if i == 20 else "")) for i in range(20, 30)] + [(20, "in one\nin one")] * 12 + [(None, "often")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = drop_repeated_lines(docs, min_docs=10).collect()
+    assert len(got) == len(rows)
+    for r, t in ((r, t) for r in got for i, t in rows if i == r["doc_id"] and i is not None and i < 5):
+        assert (r["n_dropped"], r["kept_text"]) == (0, t)
+    assert all(r["n_dropped"] == 0 for r in got if r["n_lines"] == 2 and r["kept_text"] == "in one\nin one")
+    assert sum(r["n_dropped"] for r in got) == 10 + 3
+    refs = {bytes(r["digest"]): r["refs"] for r in LineIndex.of(docs).refs.collect()}
+    assert [refs[digest(k)] for k in (b"shared", b"often", b"in one", b"own 3")] == [5, 13, 1, 1]
+
+
+def test_line_index_refuses_what_it_cannot_reverse(spark):
+    def frame(rows):
+        return spark.createDataFrame(rows, "doc_id long, text string")
+
+    index = LineIndex.of(frame([(i, "a\nb") for i in range(3)] + [(7, "b"), (7, "c"), (None, "n"), (None, "n")]), min_docs=2, shards=3)
+    before = sorted(map(tuple, index.refs.collect()))
+    for unknown in ([(i, "b") for i in range(100, 105)], [(0, "a")], [(7, "b")], [(None, "m")], [(None, "n")] * 3):
+        with pytest.raises(ValueError, match="not in the index"):
+            index.delete(frame(unknown))
+    with pytest.raises(ValueError, match="already"):
+        index.insert(frame([(2, "z"), (50, "z")]))
+    more = [(100, "b\nd"), (100, "b"), (None, "n"), (None, None)]
+    back = index.insert(frame(more)).delete(frame(more))
+    assert sorted(map(tuple, back.refs.collect())) == before
+    less = index.delete(frame([(7, "c"), (7, "b"), (None, "n")]))
+    assert sorted(map(tuple, less.insert(frame([(7, "b"), (7, "c"), (None, "n")])).refs.collect())) == before
 
 
 def test_line_index_is_reversible(spark):
     def frame(rows):
-        return spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string")
+        return spark.createDataFrame([(i, t) for i, t in rows], "doc_id long, text string")
 
-    first, more = [f"a {i % 4}\nb {i}" for i in range(20)], [f"a {i % 4}\nc {i % 2}" for i in range(12)]
+    first, more = [(i, f"a {i % 4}\nb {i}") for i in range(20)], [(100 + i, f"a {i % 4}\nc {i % 2}") for i in range(12)]
     index = LineIndex.of(frame(first), min_docs=5, shards=3)
     both = index.insert(frame(more))
     back = both.delete(frame(more))
@@ -271,40 +307,112 @@ def test_benchmark_search_equals_brute_force(spark):
         words = t.split()
         words[rng.randrange(len(words))] = "changed"
         docs[10_000 + k] = " ".join([*(f"f{x}" for x in range(rng.randrange(400))), *words, *(f"g{x}" for x in range(3000))])
-    sets = {i: set(decontaminate.shingle_sets([t], 5)[0].tolist()) for i, t in items.items()}
-    own = {d: set(decontaminate.shingle_sets([t or ""], 5)[0].tolist()) for d, t in docs.items()}
-    expected = {(d, i) for d, s in own.items() for i, q in sets.items() if q and len(q & s) >= 0.8 * len(q)}
+    expected = plain_containment(docs, items, 0.8)
     frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     for block in (5000, 7):
         assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find_items(frame, bench, block_items=block).collect()} == expected
 
 
+def plain_words(text):
+    return "".join(c if c.isalnum() else " " for c in text.lower()).split()
+
+
+def plain_shingles(text, n):
+    words = plain_words(text)
+    return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}
+
+
+def plain_containment(docs, items, share):
+    """(doc, item) by sets of word tuples; a short item by its own words one after the other."""
+    out = set()
+    for i, item in items.items():
+        n = min(5, len(plain_words(item)))
+        own = plain_shingles(item, n) if n else set()
+        out |= {(d, i) for d, t in docs.items() if own and len(own & plain_shingles(t or "", n)) >= share * len(own) - 1e-9}
+    return out
+
+
+def test_short_items_inside_long_texts(spark):
+    rng = random.Random(8)
+    items = {n: " ".join(f"i{n}w{k}" for k in range(n)) for n in range(1, 14)} | {100: "alpha beta gamma", 101: "one two one two one two"}
+    docs = {0: "x y alpha beta gamma z w", 1: "alpha beta, GAMMA", 2: "alpha beta", 3: "gamma beta alpha", 4: "two one two one two one two"}
+    for length in (600, 20_000):
+        for n, item in items.items():
+            for copy in range(6 if length == 600 else 1):
+                at, words = rng.randrange(length), [f"f{rng.randrange(10**6)}" for _ in range(length)]
+                docs[len(docs)] = " ".join([*words[:at], item, *words[at:]])
+    expected = plain_containment(docs, items, 0.8)
+    assert {i for _, i in expected} == set(items)
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    listed = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    for block in (5000, 4):
+        assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find_items(frame, listed, block_items=block).collect()} == expected
+
+
+def test_short_items_in_many_texts_are_all_found(spark):
+    """A five-word item inside 100 texts of 605 words."""
+    rng = random.Random(9)
+    rows = [(d, " ".join([f"t{rng.randrange(10**6)}" for _ in range(300)] + ["one", "two", "three", "four", "five"] + [f"t{rng.randrange(10**6)}" for _ in range(300)])) for d in range(100)]
+    items = spark.createDataFrame([(1, "one two three four five"), (2, "two three four")], "item_id long, text string")
+    assert decontaminate.find_items(spark.createDataFrame(rows, "doc_id long, text string"), items).count() == 200
+
+
 def test_benchmark_search_of_hard_rows(spark):
     items = spark.createDataFrame([(1, "one line"), (2, None), (3, ""), (None, "a b c"), (5, "word " * 40)], "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_items(hard(spark), items).collect()}
-    assert got == {(4, 1), (5, 1), (None, 1), (9, None), (10, None), (7, 5)}
+    assert got == {(4, 1), (5, 1), (None, 1), (9, None), (10, None), (7, 5)}  # 1 and the null item are shorter than a shingle
     assert decontaminate.find_items(hard(spark, True), items).count() == 0
     assert decontaminate.find_items(hard(spark), items.limit(0)).count() == 0
 
 
+def plain_license_labels(text, templates, percent, spread):
+    """Labels by trying every window of every line and paragraph."""
+    def split(t):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.translate(LOWER))
+
+    parts = [p for p in re.split(r"(?:^|\n)[^\S\n]*(?=\n|$)", text)] + text.split("\n")
+    out = set()
+    for block in parts:
+        words = split(block)
+        for label, template in templates:
+            own, span = set(split(template)), spread * len(split(template))
+            if any(100 * len(own & set(words[i : i + span])) >= percent * len(own) for i in range(max(1, len(words) - span + 1))):
+                out.add(label)
+    return out
+
+
 def test_license_scan_against_plain_scan(spark):
     rows = [*texts(spark).items(), (9001, "MIT  license, mit LICENSE. The Apache-License"), (9002, "x\n\nPermission is granted, free of charge, to any person\nobtaining a copy of this software and associated documentation"),
-            (9003, "mit\x00license"), (9004, "mitlicense é-mit license"), (9005, None), (9006, "ALL RIGHTS RESERVED")]
+            (9003, "mit\x00license"), (9004, "mitlicense é-mit license"), (9005, None), (9006, "ALL RIGHTS RESERVED"),
+            (9007, " ".join(["all"] + ["x"] * 5000 + ["rights"] + ["y"] * 4998 + ["reserved"])), (9008, "all of the rights are reserved"), (9009, "all rights here are now said to be reserved"),
+            (9010, "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above\n copyright notice and this permission notice appear in all copies."),
+            (9011, "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products\nderived from this software without specific prior written permission."),
+            (9012, "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.")]
     got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     for d, t in rows:
-        words = licenses.words(t or "")
-        starts = [(i, label) for p, label in licenses.BASE.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
-        labels = {label for label, text in licenses.TEMPLATES for b in licenses.blocks(t or "") if 10 * len(set(licenses.words(text)) & set(licenses.words(b))) >= 8 * len(set(licenses.words(text)))}
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER))
+        starts = [(i, label) for p, label in (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")) for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
+        labels = plain_license_labels(t or "", licenses.TEMPLATES, 80, 2) if any(w in (t or "").lower() for w in ("license", "reserved", "permi", "warrant", "copyright", "free", "cc ")) else set()
         r = got[d]
         assert (r["n_words"], r["n_base"]) == (len(words), len(starts))
         assert (r["first_word"], r["last_word"]) == (min((s for s, _ in starts), default=None), max((s for s, _ in starts), default=None))
-        assert r["base_labels"] == ",".join(sorted({x for _, x in starts})) and r["labels"] == ",".join(sorted({x for _, x in starts} | labels))
+        assert r["base_labels"] == ",".join(sorted({x for _, x in starts})) and r["labels"] == ",".join(sorted({x for _, x in starts} | labels)), d
         assert 0 <= r["score"] <= 1
     assert got[9001]["n_base"] == 3 and "mit" in got[9002]["labels"] and got[9006]["labels"] == "rights-reserved"
+    assert [got[9000 + k]["labels"] for k in (7, 8, 9)] == ["", "rights-reserved", ""]
+    assert "isc" in got[9010]["labels"] and "bsd" in got[9011]["labels"] and "mit" in got[9012]["labels"]
     assert licenses.scan(hard(spark)).count() == len(HARD) and licenses.scan(hard(spark, True)).count() == 0
 
 
+def test_license_shares_are_whole_numbers(spark):
+    """55 of a hundred words, and 0.55 * 100 is a little more than 55."""
+    template = [("own", " ".join(f"w{i}" for i in range(100)))]
+    rows = [(n, " ".join(f"w{i}" for i in range(n))) for n in (54, 55, 56)]
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), template, percent=55).collect()}
+    assert got == {54: "", 55: "own", 56: "own"}
+
+
 def luhn(digits):
     return sum(int(d) if i % 2 == 0 else (2 * int(d) - 9 if int(d) > 4 else 2 * int(d)) for i, d in enumerate(reversed(digits))) % 10 == 0
 
@@ -357,6 +465,96 @@ def test_values_at_sentence_ends_and_in_ranges(spark):
     assert [got[o][:2] for o in odd] == [(o, 0) for o in odd]
 
 
+def plain_digits(digits, key, tag):
+    """The Feistel rounds on two halves of a number, in Python."""
+    n, left = len(digits), len(digits) // 2
+    high, low = int(digits[:left] or 0), int(digits[left:])
+    for i in range(pii.ROUNDS):
+        mac = int(hashlib.sha256(f"{key}|{tag}{n}|{i}|{low if i % 2 == 0 else high}".encode()).hexdigest()[:13], 16)
+        high, low = ((high + mac) % 10**left, low) if i % 2 == 0 else (high, (low + mac) % 10 ** (n - left))
+    return (str(high).zfill(left) if left else "") + str(low).zfill(n - left)
+
+
+def plain_value(match, key):
+    """What a match of one value becomes, or None for formats that have a test of their own."""
+    digits = re.sub("[^0-9]", "", match)
+    if "@" in match:
+        return f"user-{hashlib.sha256(f'{key}|mail|{match.lower()}'.encode()).hexdigest()[:16]}@example.invalid"
+    shapes = {"card": r"\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}|\d{13,19}|\d{4}[ -]\d{6}[ -]\d{5}", "ssn": r"\d{3}-\d{2}-\d{4}", "phone": r"\+.*"}
+    kind = next((k for k, shape in shapes.items() if re.fullmatch(shape, match)), None)
+    if kind is None:
+        return None
+    if kind == "card" and luhn(digits):
+        body = plain_digits(digits[:-1], key, "card")
+        new = next(body + str(d) for d in range(10) if luhn(body + str(d)))
+    else:
+        new = plain_digits(digits, key, "number" if kind == "card" else kind)
+    rest = iter(new)
+    return "".join(next(rest) if c.isdigit() else c for c in match)
+
+
+def test_pseudonyms_against_a_plain_model(spark):
+    """Every value of the given table that stands in it as one; values are found by the operator's pattern, the rest is computed here."""
+    import regex
+
+    pattern = regex.compile(pii.PATTERN)
+    given = texts(spark)
+    got = {r["doc_id"]: r["text"] for r in QUERIES["op2_feistel_pii"](spark, SF).collect()}
+    told = 0
+    for d, text in given.items():
+        wanted, at = "", 0
+        for m in pattern.finditer(text or ""):
+            new = plain_value(m.group(), "corpus-2")
+            told += new is not None
+            wanted += re.escape(text[at : m.start()]) + (re.escape(new) if new is not None else "(?s:.{1,60}?)")
+            at = m.end()
+        assert re.fullmatch(wanted + re.escape((text or "")[at:]), got[d] or ""), d
+    assert told > 10
+
+
+def test_no_text_is_too_long_for_the_patterns(spark):
+    rng = random.Random(6)
+    million = 10**6
+    rows = ["a@" + "b." * million + "1", "a." * million + "@", "a--" * million, "4111 " * 20_000, "1 " * 50_000, "4111-" * 200_000 + "1", "0000 " * 20_000, "token = \"" + "A" * million, "(" * million,
+            "9" * million, "2024-" * 200_000, "1.1.1." * 160_000, "+1 " * 300_000, "a@b" * 300_000]
+    for letters in ("0123456789 -", "0123456789.-/", "+()0123456789 .-", "ab@.%+-_0", "abcDEF=\"': key"):
+        rows.append("".join(rng.choices(letters, k=million)))
+    started = time.monotonic()
+    got = pseudonymised(spark, rows)
+    assert time.monotonic() - started < 150 and len(got) == len(set(rows))
+    row = got["4111 " * 20_000][0].split()
+    assert len(row) == 20_000 and len({tuple(row[i : i + 4]) for i in range(0, 20_000, 4)}) == 1  # no card among them: numbers of four groups
+    assert got["0000 " * 20_000][2] == "card" and luhn("".join(got["0000 " * 20_000][0].split()[:4]))
+
+
+def test_long_rows_of_groups_as_short_ones(spark):
+    """Cards in a long row, first ones first, over the borders of the runs that are taken at a time."""
+    rng = random.Random(7)
+    card = "4111 1111 1111 1111"
+    alone = pseudonymised(spark, [card])[card][0]
+    for before in (1, 3, 60, 61, 62, 63, 64, 127, 130):
+        years = []
+        while len(years) < before + 8:  # no four of them are a card
+            years.append(str(rng.randint(1900, 2099)))
+            if len(years) > 3 and luhn("".join(years[-4:])):
+                years.pop()
+        text = " ".join([*years[:before], card, *years[before:]])
+        near = [i for i in range(before - 3, before + 4) if i != before and i >= 0 and luhn("".join(text.split()[i : i + 4]))]
+        if not near:
+            assert alone in pseudonymised(spark, [text])[text][0], before
+
+
+def test_more_notations(spark):
+    phones = ["(555) 123-4567", "555-123-4567", "+33 6 12 34 56 78", "555.123.4567"]
+    got = pseudonymised(spark, [*phones, *(f"call {p}, or {p}." for p in phones), 'api_key: "abcdef0123456789ABCDEF"', "Secret='abcdef0123456789ABCDEF'", "monkeys are \"abcdef0123456789ABCDEF\""])
+    for p in phones:
+        new, n, kind = got[p]
+        assert new != p and (n, kind) == (1, "phone") and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", p)
+        assert got[f"call {p}, or {p}."][:2] == (f"call {new}, or {new}.", 2)
+    assert got['api_key: "abcdef0123456789ABCDEF"'][2] == got["Secret='abcdef0123456789ABCDEF'"][2] == "token"
+    assert got["monkeys are \"abcdef0123456789ABCDEF\""][1] == 0
+
+
 def test_pseudonyms_are_permutations(spark):
     numbers = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d"))
     assert numbers.select(pii.permuted_digits(F.col("d"), "k", "t").alias("p")).where("p rlike '^[0-9]{3}$'").distinct().count() == 1000
@@ -378,9 +576,82 @@ def test_quality_held_out(spark):
 
 
 def test_toxicity_held_out(spark):
-    rows = held_out_rows(spark, "op6_weak_toxicity", "toxic")
-    hits = [r["toxic"] for r in rows if r["predicted"]]
-    assert len(rows) > 40 and np.mean([r["predicted"] == r["toxic"] for r in rows]) > 0.9 and (not hits or np.mean(hits) > 0.6)
+    """On the largest of the given tables, as the smaller ones hold out a handful of toxic rows."""
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rows = QUERIES["op6_weak_toxicity"](spark, sf).join(labels, "doc_id").where(F.col("held_out") & F.col("toxic").isNotNull()).collect()
+    toxic, found = sum(r["toxic"] for r in rows), sum(r["predicted"] for r in rows)
+    both = sum(r["toxic"] and r["predicted"] for r in rows)
+    assert toxic > 40 and both / toxic >= 0.9 and both / found >= 0.9
+
+
+def test_toxicity_scores_against_a_plain_model(spark):
+    """The learned weights of a text's words and prefixes, summed one by one."""
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model, _ = toxicity.fit(docs, labels)
+    weights = dict(zip(model.ids.tolist(), model.weights, strict=True))
+    assert len(weights) > 10
+    own = {r["doc_id"]: r["text"] or "" for r in docs.select("doc_id", "text").limit(150).collect()}
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs.where(F.col("doc_id").isin(list(own))), model).collect()}
+    ids = {}
+
+    def unit(word, k):
+        if (word, k) not in ids:
+            made = list(toxicity.units(*A.laid_out([word])))
+            ids[word, k] = int(made[0][0][0]) if not k else int(made[1 + toxicity.PREFIXES.index(k)][0][0])
+        return ids[word, k]
+
+    for d, text in own.items():
+        words = re.findall(r"[^\W\d_]+", text.lower())
+        words = [w for w in words if all(c.isalpha() for c in w)] if all(c.isalpha() for w in words for c in w) else None
+        if words is None:
+            continue
+        counts = Counter(unit(w, k) for w in words for k in (0, *toxicity.PREFIXES) if not k or len(w) > k)
+        odds = model.bias + sum(weights[u][level] for u, n in counts.items() if u in weights for level, share in enumerate(toxicity.SHARES) if n >= share * len(words))
+        assert abs(got[d] - 1 / (1 + np.exp(-odds))) < 1e-9
+
+
+def test_quality_scores_against_a_plain_model():
+    """Softmax over averaged vectors is one weight per bucket: the mean of a text's buckets decides."""
+    rng = np.random.default_rng(3)
+    model = quality.Model(rng.normal(size=1 << quality.BITS).astype(np.float32), 0.3)
+    given = ["one two three", "", "A b", "word " * 500, "ünï cödé text here"]
+    for text, score in zip(given, model.scores(given), strict=True):
+        buckets = np.concatenate([b for b, _ in quality.tokens(*A.laid_out([text]))] or [np.zeros(0, int)])
+        odds = sum(float(model.weights[b]) for b in buckets) / (len(buckets) + quality.FILL) + 0.3
+        assert abs(score - 1 / (1 + np.exp(-odds))) < 1e-4, text[:9]  # whatever stands beside it in a batch
+
+
+def test_languages_against_a_plain_compression(spark):
+    """Each piece of the text through each language's compressor, one call at a time."""
+    import zstandard
+
+    models = language.fit(documents(spark))
+    own = {d: t for d, t in list(texts(spark).items())[:60] if t and any(c.isalpha() for c in t)}
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(documents(spark), models).collect()}
+    for d, text in own.items():
+        data = text.lower().encode()
+        total = {}
+        for lang, content in models.items():
+            total[lang] = sum(
+                len(zstandard.ZstdCompressor(level=language.LEVEL, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
+                                             write_content_size=False, write_dict_id=False).compress(data[i : i + language.PIECE]))
+                for i in range(0, len(data), language.PIECE))
+        best = min(total.values())
+        assert total[got[d]] <= best * 1.01 + 2  # a prepared dictionary may code a piece in a byte more or less
+
+
+def test_samples_are_the_smallest_hashes(spark):
+    rows = [(i, i % 7 == 0, None) for i in range(5000)] + [(3, True, None)] * 2 + [(None, True, None)]
+    labels = spark.createDataFrame([(i, int(y)) for i, y, _ in rows], "doc_id long, toxic int")
+    for most in (1, 50, 2000):
+        got = sorted(map(tuple, labelled_sample(labels, "doc_id", "toxic", 5, 0, most).collect()))
+        known = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("toxic").alias("y")).select("doc_id", "y", F.xxhash64("doc_id").alias("h"), F.crc32(F.col("doc_id").cast("string")).alias("c")).collect()
+        want = []
+        for y in (0, 1):
+            want += sorted((r["h"], r["doc_id"], y) for r in known if r["y"] == y and r["c"] % 5)[:most]
+        assert got == sorted((d, y) for _, d, y in want)
 
 
 def test_label_model_weighs_voters():
@@ -442,11 +713,26 @@ def test_pipeline_stages_against_plain_ones(spark):
     groups = plain_components(list(plain.items()), 5, 80)
     near = {r["doc_id"] for r in kept["n-gram Jaccard join"].collect()}
     assert near == {d for d, (_, c) in groups.items() if c == d}
-    items = [set(s.tolist()) for s in decontaminate.shingle_sets([r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()], 5)]
-    own = {d: set(decontaminate.shingle_sets([plain[d]], 5)[0].tolist()) for d in near}
-    clean = {d for d, s in own.items() if not any(len(q & s) >= 0.8 * len(q) for q in items)}
+    items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    clean = near - {d for d, _ in plain_containment({d: plain[d] for d in near}, items, 0.8)}
     assert {r["doc_id"] for r in kept["benchmark decontamination"].collect()} == clean == {r["doc_id"] for r in docs.collect()}
 
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES) and len(QUERIES) == 13
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
+def test_registered_sql(spark, name, sf):
+    import duckdb
+
+    engine = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        engine.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
+    cursor = engine.execute(ORACLES[name])
+    names = [column[0] for column in cursor.description]
+    df = QUERIES[name](spark, sf)
+    assert set(df.columns) == set(names)
+    got = sorted(tuple(r[n] for n in names) for r in df.collect())
+    assert got == sorted(cursor.fetchall()) and got
