@@ -44,13 +44,15 @@ def tokens(points: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray,
     codes = A.point_codes()[np.where(space, np.uint32(32), points)]
     inner = np.concatenate([[0], np.cumsum(space)])
     gram, step = codes.copy(), A.powers(max(GRAMS), A.BY_WORD)
+    begins = np.ones(len(codes), bool)
+    begins[starts[1:] - 1] = False  # what begins at the end of a text is made of the next one
     for n in range(2, max(GRAMS) + 1):
         if len(codes) < n:
             break
         gram = gram[: len(codes) - n + 1] + codes[n - 1 :] * step[n - 1]
         if n in GRAMS:
             first = np.arange(len(gram))
-            full = np.flatnonzero(inner[first + n - 1] == inner[first + 1])
+            full = np.flatnonzero((inner[first + n - 1] == inner[first + 1]) & begins[: len(gram)])
             yield (A.mixed(gram[full]) >> shift).astype(np.int32), np.searchsorted(full, starts)
 
 
