@@ -9,6 +9,8 @@ from termloom.llm.shared import settled
 
 #: Characters that do not count when texts are compared.
 SPACES = " \t\n\x0b\f\r"
+#: Texts that can be cut into parts; a row for each is broadcast.
+MOST_HOT = 200_000
 
 
 def without_spaces(rows: DataFrame, text: str, name: str) -> DataFrame:
@@ -21,7 +23,7 @@ def without_spaces(rows: DataFrame, text: str, name: str) -> DataFrame:
     return rows.withColumn(name, F.when(some, rest).otherwise(F.col(name)))
 
 
-def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_share: float = 0.002, salts: int = 64) -> DataFrame:
+def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_share: float = 0.002, salts: int = 64, hot_rows: int = 20_000) -> DataFrame:
     """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical without white space. Spark samples splitters of the
@@ -31,9 +33,11 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     sent to the driver are short whatever the texts. Of equal texts the row with the
     most code points stays, then the smallest id.
 
-    A text that more than `hot_share` of all rows have is cut into `salts` parts, so no
-    task gets them all; there are at most 1 / hot_share such texts. Their parts' winners
-    are then compared once more. Copies of a hot text are found by the count of a
+    A text that more than `hot_share` of all rows have, or more than `hot_rows` of them
+    however many rows there are, is cut into `salts` parts, and into more of them if they
+    would hold more than `hot_rows` each, so no task gets them all. There are at most
+    MOST_HOT such texts: beyond some billions of rows the limit rises with the table.
+    The parts' winners are then compared once more. Copies of a hot text are found by the count of a
     64-bit hash; a collision only salts a row that need not be.
 
     Null text counts as empty, and all empty texts are equal. Of rows equal in text,
@@ -42,13 +46,15 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("raw"))
     base = without_spaces(base, "raw", "body").select("doc_id", "body", F.char_length("raw").alias("points"))
-    limit = docs.count() * hot_share
+    total = docs.count()
+    limit = max(min(total * hot_share, hot_rows), total / MOST_HOT, 2.0)
     hot = settled(
         base.groupBy(F.xxhash64("body").alias("mark")).agg(F.count("*").alias("n"))
-        .where(F.col("n") > F.lit(max(limit, 2.0))).select("mark", F.lit(True).alias("hot")), "hot-texts")
+        .where(F.col("n") > F.lit(limit))
+        .select("mark", F.lit(True).alias("hot"), F.greatest(F.lit(salts), F.ceil(F.col("n") / hot_rows)).alias("parts")), "hot-texts")
     salted = base.withColumn("mark", F.xxhash64("body")).join(F.broadcast(hot), "mark", "left").select(
         "doc_id", "body", "points", "mark", F.substring("body", 1, 32).alias("begin"), F.coalesce("hot", F.lit(False)).alias("hot"),
-        F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.lit(salts))).otherwise(F.lit(0)).cast("int").alias("salt"))
+        F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.col("parts"))).otherwise(F.lit(0)).cast("int").alias("salt"))
 
     best_first = [F.col("points").desc(), F.col("doc_id").asc_nulls_last()]
     group = Window.partitionBy("begin", "mark", "salt", "body")
@@ -65,7 +71,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     merged = heads.select(
         "text_sha256", F.row_number().over(over).alias("nth"), F.col("head").alias("all_head"),
         F.sum("size").over(Window.partitionBy("text_sha256")).alias("all_size")).where("nth = 1").drop("nth")
-    joined = found.join(F.broadcast(merged), "text_sha256", "left")  # at most 1 / hot_share rows
+    joined = found.join(F.broadcast(merged), "text_sha256", "left")  # at most MOST_HOT rows
     own = F.col("all_size").isNull()
     keep = F.when(own, F.col("head")).otherwise(F.col("all_head"))
     return joined.select(
