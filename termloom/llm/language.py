@@ -28,7 +28,9 @@ def fit(docs: DataFrame, folds: int = 4, fold: int = 2, docs_per_lang: int = 400
 
     The sample has at most docs_per_lang documents of each language, chosen by a hash
     of the id before the shuffle. Each gives one piece, from a place that the hash
-    names as well, of an even share of the dictionary.
+    names as well, of an even share of the dictionary. Rows with a null or empty text or
+    a null language teach nothing, those with a null id count as one id, repeated rows
+    give their piece again; an empty table gives no language.
     """
     rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     known = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0) & ~held_out(F.col("key"), folds, fold))

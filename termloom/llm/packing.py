@@ -61,7 +61,7 @@ def encoder(path: str):
         try:
             return fast.encode_ordinary(text)
         except BaseException as e:  # the library's panics are no Exception
-            if isinstance(e, (KeyboardInterrupt, SystemExit, GeneratorExit)):
+            if isinstance(e, (KeyboardInterrupt, SystemExit, GeneratorExit, MemoryError)):
                 raise
             return slow(text)
 
@@ -164,7 +164,8 @@ def pack(docs: DataFrame, path: str, size: int = 2048, end_id: int = 0, id_col:
     A document is its ids and end_id after them; null text counts as empty and is one
     token long. Only documents longer than `size` are cut. Repeated rows are packed
     each on its own; rows with a null id, too. An empty table gives no rows. Very long
-    texts give many pieces, which fill sequences of their own.
+    texts give many pieces, which fill sequences of their own. Ids are whole numbers, or
+    texts that spell one; others raise.
     """
     pieces = settled(tokenised(docs, path, size, end_id, id_col, text_col), "pieces")
     by_part = settled(pieces.groupBy("length", "part").agg(F.count("*").alias("n")), "piece-counts")
