@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from termloom.functions import text as T
 from termloom.functions.stemmer import kept_start, stem_sql
-from termloom.operators import bounds, phrase
+from termloom.operators import bounds, phrase, sentences
 
 WORDS = (
     "aing ayed ties ies dies y yes ying hoping fating ebbing ability rationally aes bus as as's erie ere erring Er ER "
@@ -41,3 +41,20 @@ def test_large_inputs_are_spread_over_more_tasks(spark, monkeypatch):
     assert bounds.spread(df, "id").rdd.getNumPartitions() == 40
     monkeypatch.setattr(bounds, "plan_bytes", lambda rows: 1 << 62)
     assert bounds.spread(df, "id") is df
+
+
+def test_known_runs_are_looked_for_one_by_one(spark, monkeypatch):
+    lines = spark.createDataFrame([(1, 1, ["an", "anea", "stone"]), (1, 2, ["ANEA"]), (2, 1, ["er"])], "docid long, sentid int, words array<string>")
+    terms = spark.createDataFrame([("anea",), ("sto.e",), ("er",), ("(a|e)r",)], "term string")
+    pairs = terms.crossJoin(lines.select("docid").distinct())
+    none = pairs.where("false")
+
+    def found():
+        return sentences.match_sentences(lines, pairs, terms, none, regex_terms=True)
+
+    plan = found()
+    few = rows(plan)
+    monkeypatch.setattr(sentences, "SPELLED_GRAMS", 0)
+    assert few == rows(found()) == sorted([
+        ("anea", 1, 1, "an anea stone"), ("anea", 1, 2, "ANEA"), ("er", 2, 1, "er"), ("sto.e", 1, 1, "an anea stone"), ("(a|e)r", 2, 1, "er"),
+    ], key=repr)
