@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from conftest import rows
 from termloom.functions import text as T
 from termloom.functions.stemmer import kept_start, stem_sql
-from termloom.operators import bounds, phrase, sentences
+from termloom.operators import bounds, phrase, postings, sentences
+from termloom.sources import scratch
 
 WORDS = (
     "aing ayed ties ies dies y yes ying hoping fating ebbing ability rationally aes bus as as's erie ere erring Er ER "
@@ -43,6 +44,22 @@ def test_large_inputs_are_spread_over_more_tasks(spark, monkeypatch):
     assert bounds.spread(df, "id") is df
 
 
+def test_postings_are_shuffled_once(spark):
+    def forms(docs):
+        return scratch.settle(phrase.analyze_documents(spark.createDataFrame(docs, "docid long, contents string, time timestamp"),
+                                                       T.FIELDS, carried=["time"]))
+
+    built = postings.build_postings(forms([(1, "stone the stones a stone", None), (2, "", None), (3, None, None)]))
+    plan = built._jdf.queryExecution().toString().partition("== Physical Plan ==")[2]
+    assert plan.count("Exchange") == 1
+    found = {(r.field, r.token): r.positions for r in built.collect()}
+    assert found[(T.NO_STEM, "stone")] == [0, 4] and found[(T.ENGLISH, "stone")] == [0, 2, 4]
+    assert (T.NO_STEM, "the") not in found
+    twice = postings.build_postings(forms([(1, "b a b", None), (1, "b c", None), (2, "b", None)]))
+    places = {(r.docid, r.token): r.positions for r in twice.where(F.col("field") == T.CASE_SENSITIVE_NO_STEM).collect()}
+    assert places == {(1, "b"): [0, 0, 2], (1, "c"): [1], (2, "b"): [0]}
+
+
 def test_known_runs_are_looked_for_one_by_one(spark, monkeypatch):
     lines = spark.createDataFrame([(1, 1, ["an", "anea", "stone"]), (1, 2, ["ANEA"]), (2, 1, ["er"])], "docid long, sentid int, words array<string>")
     terms = spark.createDataFrame([("anea",), ("sto.e",), ("er",), ("(a|e)r",)], "term string")
@@ -58,3 +75,10 @@ def test_known_runs_are_looked_for_one_by_one(spark, monkeypatch):
     assert few == rows(found()) == sorted([
         ("anea", 1, 1, "an anea stone"), ("anea", 1, 2, "ANEA"), ("er", 2, 1, "er"), ("sto.e", 1, 1, "an anea stone"), ("(a|e)r", 2, 1, "er"),
     ], key=repr)
+
+
+def test_a_write_leaves_the_setting_of_the_session(spark, tmp_path):
+    before = spark.conf.get(scratch.CLEANUP, None)
+    scratch.write_parquet(spark.range(9).repartition(3, "id"), str(tmp_path / "rows"))
+    assert spark.conf.get(scratch.CLEANUP, None) == before
+    assert spark.read.parquet(str(tmp_path / "rows")).count() == 9
