@@ -44,6 +44,14 @@ def test_stemmer_corners(spark, word, expected):
     assert one(spark, word, stem("t")) == expected
 
 
+@pytest.mark.parametrize("text, word", [
+    ("from. x", "from"), ("from: x", "from"), ("x.1", "x"), ("déjà vu", "déjà"), ("dogs' x", "dogs"),
+    ("it's", ""), ("a.b", ""), ("x_", ""), ("x1", ""), ("xД", ""), ("x́", ""), ("a:é", ""),
+])
+def test_plain_words_take_the_short_pattern(spark, text, word):
+    assert one(spark, text, F.regexp_extract("t", f"^{T._PLAIN}", 0)) == word
+
+
 @pytest.mark.parametrize("text, tokens", [
     ("The Quick, brown fox.", ["The", "Quick", "brown", "fox"]),
     ("it's O’Neil's rock'n'roll", ["it's", "O’Neil's", "rock'n'roll"]),
