@@ -44,6 +44,11 @@ def test_large_inputs_are_spread_over_more_tasks(spark, monkeypatch):
     assert bounds.spread(df, "id") is df
 
 
+def test_a_task_over_texts_is_small(spark, monkeypatch):
+    monkeypatch.setattr(bounds, "plan_bytes", lambda rows: 100 << 20)
+    assert bounds.spread(spark.range(10), "id").rdd.getNumPartitions() >= 50
+
+
 def test_postings_are_shuffled_once(spark):
     def forms(docs):
         return scratch.settle(phrase.analyze_documents(spark.createDataFrame(docs, "docid long, contents string, time timestamp"),
