@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from termloom.functions import text as T
 from termloom.functions.stemmer import kept_start, stem_sql
-from termloom.operators import bounds, phrase, postings, sentences
+from termloom.operators import bounds, matching, phrase, postings, quality, sentences
 from termloom.sources import scratch
 
 WORDS = (
@@ -87,3 +87,56 @@ def test_a_write_leaves_the_setting_of_the_session(spark, tmp_path):
     scratch.write_parquet(spark.range(9).repartition(3, "id"), str(tmp_path / "rows"))
     assert spark.conf.get(scratch.CLEANUP, None) == before
     assert spark.read.parquet(str(tmp_path / "rows")).count() == 9
+
+
+TEXTS = ["Oil shale in the oil basin", "the shale, an OIL basin", "oil shale oil", None, "", "basin of shale"]
+TERMS = [
+    (1, "oil shale", ["basin"]), (1, "the oil", ["oil"]), (1, "oil", ["shale", "basin"]), (1, "the", ["oil"]), (1, "shale", []),
+    (2, "Oil shale", ["the"]), (2, "OIL", ["basin", "none"]), (2, "shale of", ["Oil"]), (1, "none", ["oil"]), (1, "shale basin", None),
+]
+
+
+def matches_in_blocks(spark, broadcast_bytes):
+    docs = [(i % 5, text) for i, text in enumerate(TEXTS * 2)] + [(None, "oil")]
+    terms = spark.createDataFrame(TERMS, "dict_id int, term string, classification array<string>")
+    settings = spark.createDataFrame([(1, False, True), (2, True, False)], "dict_id int, case_sensitive boolean, word_stemming boolean")
+    docs = spark.createDataFrame(docs, "docid long, contents string")
+    found = matching.match_terms_to_docs(terms, settings, docs, broadcast_bytes=broadcast_bytes)
+    return found.select("dict_id", "term", "docid", "hits", "hierarchy_present")
+
+
+@pytest.mark.parametrize("spelled", [24, 0])
+@pytest.mark.parametrize("limit", [None, 4000])
+def test_matches_of_a_large_dictionary_are_not_shuffled(spark, monkeypatch, limit, spelled):
+    whole = rows(matches_in_blocks(spark, None))
+    assert len(whole) > 12 and {row[4] for row in whole} == {None, True, False}
+    monkeypatch.setattr(matching, "MOST_PHRASES", 0)
+    monkeypatch.setattr(phrase, "SPELLED_SHAPES", spelled)
+    found = matches_in_blocks(spark, limit)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    sent = [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]
+    # Texts, (block, gram) and terms, but neither counts nor matches of a document.
+    assert sent and not any("hits" in line or "docid" in line for line in sent)
+    assert ("direct_shuffle_partition_id" in plan) and rows(found) == whole
+
+
+def test_kept_forms_are_matched_in_blocks(spark, monkeypatch):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "docid long, contents string")
+    terms = spark.createDataFrame(TERMS, "dict_id int, term string, classification array<string>")
+    settings = spark.createDataFrame([(1, False, True), (2, True, False)], "dict_id int, case_sensitive boolean, word_stemming boolean")
+    kept = scratch.settle(phrase.analyze_documents(docs, T.FIELDS))
+    whole = rows(matching.match_terms_to_docs(terms, settings, docs).drop("last_updated"))
+    monkeypatch.setattr(matching, "MOST_PHRASES", 0)
+    for limit in (None, 4000):
+        found = matching.match_terms_to_docs(terms, settings, docs, analyzed=kept, broadcast_bytes=limit)
+        assert rows(found.drop("last_updated")) == whole
+
+
+def test_stored_matches_of_other_terms_are_dropped_before_the_shuffle(spark):
+    docs = spark.createDataFrame([(1, "oil"), (2, "oil shale")], "docid long, contents string")
+    terms = spark.createDataFrame([(1, "oil"), (1, "shale"), (1, None)], "dict_id int, term string")
+    settings = spark.createDataFrame([(1, False, False)], "dict_id int, case_sensitive boolean, word_stemming boolean")
+    stored = spark.createDataFrame([("oil", 1), ("oil", 1), ("gas", 1), (None, 1)], "term string, docid long")
+    compared = quality.compare_stored_live(docs, terms, settings, stored)
+    assert "bitmap_construct_agg" in compared._jdf.queryExecution().executedPlan().toString()
+    assert rows(compared) == sorted([(1, "oil", 1, 2), (1, "shale", 0, 1), (1, None, 0, 0)], key=repr)
