@@ -140,3 +140,13 @@ def test_stored_matches_of_other_terms_are_dropped_before_the_shuffle(spark):
     compared = quality.compare_stored_live(docs, terms, settings, stored)
     assert "bitmap_construct_agg" in compared._jdf.queryExecution().executedPlan().toString()
     assert rows(compared) == sorted([(1, "oil", 1, 2), (1, "shale", 0, 1), (1, None, 0, 0)], key=repr)
+
+
+def test_unmatched_terms_shuffle_no_matches(spark, monkeypatch):
+    monkeypatch.setattr(matching, "MOST_PHRASES", 0)
+    own = spark.createDataFrame(TERMS, "dict_id int, term string, classification array<string>")
+    left = quality.terms_without_matches(own, matches_in_blocks(spark, 4000))
+    sent = [line for line in left._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in line]
+    assert not any("hits" in line or "docid" in line for line in sent if "Broadcast" not in line)
+    whole = {row[1] for row in rows(matches_in_blocks(spark, None))}
+    assert {row[0] for row in rows(left.select("term"))} == {row[1] for row in TERMS} - whole
