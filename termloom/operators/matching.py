@@ -190,6 +190,33 @@ def match_queries(
     return result(decided, F.col("lone")).unionByName(result(found, F.col("n_others") > 0))
 
 
+def terms_that_occur(
+    docs: DataFrame,
+    phrases: phrase.Phrases,
+    keys: Sequence[str] = ("dict_id", "term"),
+    analyzed: DataFrame | None = None,
+    postings: DataFrame | None = None,
+) -> DataFrame:
+    """The ``keys`` of every term that ``match_queries`` finds in any document, once each.
+
+    A task shuffles each gram of its texts once; no document and none of its terms is shuffled.
+    """
+    own = replace(phrases, rows=phrases.rows.where(F.col("entry") == F.col("term")))
+    if postings is not None and phrases.number <= MOST_PHRASES:
+        found = count_by_postings(postings, own)
+    else:
+        if analyzed is not None:
+            analyzed = _needed_forms(analyzed, phrases)
+        else:
+            analyzed = phrase.analyze_documents(docs, phrases.fields or [T.ENGLISH], starts=phrases.starts)
+        if phrases.small or not phrases.few_shapes:
+            found = phrase.find_phrases(analyzed, own)
+        else:
+            found = phrase.find_candidates(analyzed, phrase.wanted(own.rows))
+    grams = found.select("field", "gram").distinct()
+    return own.rows.select(*keys, "field", "gram").join(grams, ["field", "gram"], "left_semi").select(*keys)
+
+
 def match_terms_to_docs(
     dict_terms: DataFrame,
     dictionaries: DataFrame,
@@ -199,6 +226,7 @@ def match_terms_to_docs(
     analyzed: DataFrame | None = None,
     broadcast_bytes: int | None = None,
     postings: DataFrame | None = None,
+    by_term: bool = False,
 ) -> DataFrame:
     """``terms_docs`` rows for whole dictionaries, ready for the upsert.
 
@@ -209,6 +237,10 @@ def match_terms_to_docs(
     the texts, ``postings`` one of ``build_postings`` to look terms up in. They must hold
     every form that the dictionaries ask for and, for a ``from_date``, the documents'
     ``time``.
+
+    With ``by_term`` the same rows hang on the terms that occur, by an outer join. Who reads
+    distinct terms alone then makes no match, as Spark leaves such a join out; who reads more
+    shuffles the matches to their terms.
     """
     if from_date is not None:
         docs = docs.where(since(from_date))
@@ -217,6 +249,9 @@ def match_terms_to_docs(
     one_each = dict_terms.groupBy("dict_id", "term").agg(F.max("classification").alias("classification"))
     phrases = compile_queries(with_field(one_each, dictionaries), broadcast_bytes=broadcast_bytes)
     rows = match_queries(docs, phrases, analyzed=analyzed, postings=postings)
+    if by_term:
+        found = terms_that_occur(docs, phrases, analyzed=analyzed, postings=postings)
+        rows = found.join(rows, ["dict_id", "term"], "left")
     return rows.select(
         "term", "docid", "hits", stamp(as_of).alias("last_updated"), "hierarchy_present",
         "dict_id", F.lit(False).alias("from_percolation"),

@@ -77,10 +77,12 @@ def catch_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("dict_id", "term", "docid", "hits", "hierarchy_present")
 
 
-def _spoken_matches(spark: SparkSession, sf_dir: str, from_date: dt.datetime | None = None) -> DataFrame:
+def _spoken_matches(
+    spark: SparkSession, sf_dir: str, from_date: dt.datetime | None = None, by_term: bool = False
+) -> DataFrame:
     return matching.match_terms_to_docs(
         derived.spoken_dict_terms(spark, sf_dir), derived.catalog(spark, sf_dir),
-        derived.articles(spark, sf_dir), AS_OF, from_date,
+        derived.articles(spark, sf_dir), AS_OF, from_date, by_term=by_term,
     )
 
 
@@ -513,7 +515,7 @@ def sample_terms_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unmatched_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = derived.spoken_dict_terms(spark, sf_dir)
-    rows = quality.terms_without_matches(own, _spoken_matches(spark, sf_dir, SINCE))
+    rows = quality.terms_without_matches(own, _spoken_matches(spark, sf_dir, SINCE, by_term=True))
     return rows.select("dict_id", "term")
 
 

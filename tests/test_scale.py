@@ -9,6 +9,7 @@ from conftest import rows
 from termloom.functions import text as T
 from termloom.functions.stemmer import kept_start, stem_sql
 from termloom.operators import bounds, matching, phrase, postings, quality, sentences
+from termloom.plans import registry
 from termloom.sources import scratch
 
 WORDS = (
@@ -150,3 +151,56 @@ def test_unmatched_terms_shuffle_no_matches(spark, monkeypatch):
     assert not any("hits" in line or "docid" in line for line in sent if "Broadcast" not in line)
     whole = {row[1] for row in rows(matches_in_blocks(spark, None))}
     assert {row[0] for row in rows(left.select("term"))} == {row[1] for row in TERMS} - whole
+
+
+@pytest.mark.parametrize("limit, shapes", [(None, 512), (0, 512), (0, 0)])
+def test_matches_by_term_are_the_same_rows(spark, monkeypatch, limit, shapes):
+    monkeypatch.setattr(matching, "MOST_PHRASES", 0)
+    monkeypatch.setattr(phrase, "MAX_SHAPES", shapes)
+    docs = spark.createDataFrame(list(enumerate(TEXTS)) + [(0, "oil"), (None, "none")], "docid long, contents string")
+    terms = spark.createDataFrame(TERMS * 2, "dict_id int, term string, classification array<string>")
+    settings = spark.createDataFrame([(1, False, True), (2, True, False)], "dict_id int, case_sensitive boolean, word_stemming boolean")
+    kept = scratch.settle(phrase.analyze_documents(docs, T.FIELDS))
+    for analyzed in (None, kept):
+        whole, by_term = (
+            matching.match_terms_to_docs(terms, settings, docs, analyzed=analyzed, broadcast_bytes=limit, by_term=which)
+            .drop("last_updated") for which in (False, True)
+        )
+        assert rows(by_term) == rows(whole) and by_term.columns == whole.columns
+        assert rows(by_term.select("term").distinct()) == rows(whole.select("term").distinct())
+
+
+def test_matches_by_term_from_postings(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "docid long, contents string")
+    terms = spark.createDataFrame(TERMS, "dict_id int, term string, classification array<string>")
+    settings = spark.createDataFrame([(1, False, True), (2, True, False)], "dict_id int, case_sensitive boolean, word_stemming boolean")
+    forms = phrase.analyze_documents(docs.withColumn("time", F.lit(None).cast("timestamp")), T.FIELDS, carried=["time"])
+    kept = scratch.settle(postings.build_postings(forms))
+    whole = rows(matching.match_terms_to_docs(terms, settings, docs).drop("last_updated"))
+    assert rows(matching.match_terms_to_docs(terms, settings, docs, postings=kept, by_term=True).drop("last_updated")) == whole
+
+
+def test_unmatched_terms_send_no_term_to_a_block(spark, monkeypatch, tmp_path):
+    said = ["oil shale basin", "Oil shale", "no such words", "", None]
+    given = {
+        "conversations": ("conv_id long, role string, text string", [(i, "user", text) for i, text in enumerate(said * 2)]),
+        "documents": ("doc_id long, text string, source string", [(i + 300, text, "src1") for i, text in enumerate(TEXTS)]),
+        "nation": ("n_nationkey long, n_name string", [(0, "n0")]),
+        "supplier": (
+            "s_suppkey long, s_name string, s_nationkey long, s_acctbal double",
+            [(i, f"s{i}", 0, 6000.0 * (i % 3)) for i in range(10)],
+        ),
+    }
+    for table, (schema, some) in given.items():
+        spark.createDataFrame(some, schema).write.parquet(f"{tmp_path}/{table}.parquet")
+    whole = rows(registry.unmatched_terms(spark, str(tmp_path)))
+    monkeypatch.setattr(matching, "MOST_PHRASES", 0)
+    monkeypatch.setattr(bounds, "BROADCAST_BYTES", 0)
+    left = registry.unmatched_terms(spark, str(tmp_path))
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    # The texts are read once. What is shuffled grows with them and with the terms, not with their product.
+    assert plan.count("FileScan parquet [doc_id#") == 1 and "direct_shuffle_partition_id" not in plan
+    found = {"oil shale", "Oil shale"}
+    terms = {" ".join(words) for text in said if text for words in zip(text.split(), text.split()[1:])}
+    assert rows(left) == whole and found <= terms and not found & {term for _, term in whole}
+    assert {term for _, term in whole} >= {"no such", "such words"}
