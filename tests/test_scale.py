@@ -170,6 +170,22 @@ def test_matches_by_term_are_the_same_rows(spark, monkeypatch, limit, shapes):
         assert rows(by_term.select("term").distinct()) == rows(whole.select("term").distinct())
 
 
+@pytest.mark.parametrize("share", [1, 2, 100])
+def test_terms_found_early_are_not_looked_for_again(spark, monkeypatch, share):
+    docs = spark.createDataFrame([(i, text) for i, text in enumerate(TEXTS * 3)], "docid long, contents string")
+    own = [(term, T.NO_STEM, []) for term in sorted({row[1] for row in TERMS})]
+    queries = spark.createDataFrame(own, "term string, field string, classification array<string>")
+    phrases = matching.compile_queries(queries, ["term"], broadcast_bytes=0)
+    whole = rows(matching.match_queries(docs, phrases, ["term"]).select("term").distinct())
+    kept = []
+    monkeypatch.setattr(matching, "FIRST_SHARE", share)
+    monkeypatch.setattr(matching, "settle", lambda df: kept.append(scratch.settle(df)) or kept[-1])
+    assert rows(matching.terms_that_occur(docs, phrases, ["term"])) == whole
+    early, _, late = kept
+    assert early.join(late, ["field", "gram"], "left_semi").count() == 0
+    assert early.count() + late.count() == len(whole)
+
+
 def test_matches_by_term_from_postings(spark):
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "docid long, contents string")
     terms = spark.createDataFrame(TERMS, "dict_id int, term string, classification array<string>")
@@ -181,7 +197,7 @@ def test_matches_by_term_from_postings(spark):
 
 
 def test_unmatched_terms_send_no_term_to_a_block(spark, monkeypatch, tmp_path):
-    said = ["oil shale basin", "Oil shale", "no such words", "", None]
+    said = ["oil shale basin", "Oil shale", "no such words as are given here for some more terms", "", None]
     given = {
         "conversations": ("conv_id long, role string, text string", [(i, "user", text) for i, text in enumerate(said * 2)]),
         "documents": ("doc_id long, text string, source string", [(i + 300, text, "src1") for i, text in enumerate(TEXTS)]),
@@ -195,11 +211,11 @@ def test_unmatched_terms_send_no_term_to_a_block(spark, monkeypatch, tmp_path):
         spark.createDataFrame(some, schema).write.parquet(f"{tmp_path}/{table}.parquet")
     whole = rows(registry.unmatched_terms(spark, str(tmp_path)))
     monkeypatch.setattr(matching, "MOST_PHRASES", 0)
-    monkeypatch.setattr(bounds, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(bounds, "BROADCAST_BYTES", 4000)
     left = registry.unmatched_terms(spark, str(tmp_path))
     plan = left._jdf.queryExecution().executedPlan().toString()
-    # The texts are read once. What is shuffled grows with them and with the terms, not with their product.
-    assert plan.count("FileScan parquet [doc_id#") == 1 and "direct_shuffle_partition_id" not in plan
+    # The terms that occur are known. No text is read again, and no term is sent to the texts.
+    assert "FileScan parquet [doc_id#" not in plan and "direct_shuffle_partition_id" not in plan
     found = {"oil shale", "Oil shale"}
     terms = {" ".join(words) for text in said if text for words in zip(text.split(), text.split()[1:])}
     assert rows(left) == whole and found <= terms and not found & {term for _, term in whole}
