@@ -108,3 +108,34 @@ def test_health_makes_the_matches_of_the_sample_alone(spark, tmp_path, monkeypat
     queries = terms.register_queries(derived.no_stored_queries(spark), own.where(F.size("classification") > 0), settings)
     plain = quality.health_check(docs, own, settings, whole, queries, own.where("term LIKE '%shale%'"))
     assert rows(found) == rows(plain) and found.agg(F.sum("n_checked")).first()[0] > 2
+
+
+def test_terms_are_sent_to_larger_blocks(spark, monkeypatch):
+    monkeypatch.setattr(bounds, "plan_bytes", lambda df: 400 * bounds.SPREAD_BYTES)
+    assert bounds.in_blocks(spark.range(9), "id", times=4)[1] == 100 and bounds.in_blocks(spark.range(9), "id")[1] == 400
+    asked = []
+    monkeypatch.setattr(matching, "in_blocks", lambda df, key, times=1: asked.append(times) or bounds.in_blocks(df, key, times=100 * times))
+    monkeypatch.setattr(matching, "MOST_PHRASES", 0)
+    docs = spark.createDataFrame([(1, "oil shale"), (2, "oil"), (2, "shale")], "docid long, contents string")
+    given = spark.createDataFrame([(1, "oil", ["shale"]), (1, "shale", [])], "dict_id int, term string, classification array<string>")
+    settings = spark.createDataFrame([(1, False, True)], "dict_id int, case_sensitive boolean, word_stemming boolean")
+    found = [
+        rows(matching.match_terms_to_docs(given, settings, docs, broadcast_bytes=limit).select("term", "docid", "hits", "hierarchy_present"))
+        for limit in (None, 0)
+    ]
+    assert found[0] == found[1] == [("oil", 1, 1, True), ("oil", 2, 1, True), ("shale", 1, 1, None), ("shale", 2, 1, None)]
+    assert asked == [1, matching.SENT_TIMES]
+
+
+def test_the_mark_of_a_part_is_the_sum_of_its_hashes(spark, tmp_path):
+    versions = Corpus(spark, _database(spark, "marks", tmp_path)).versions
+    docs = spark.createDataFrame([(f"d{i}", i, f"t{i}") for i in range(500)], "term string, sentid int, docid string")
+    layout = "term string, docid string, sentid int"
+    _, n, mark = versions._write("marks", docs, 1, layout, ())
+    assert n == 500 and mark == str(sum(r[0] for r in docs.select(F.xxhash64("term", "docid", "sentid")).collect()))
+    assert versions._write("marks", docs.where("false"), 1, layout, ())[1:] == (0, "0")
+
+
+def _database(spark, name, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{tmp_path}/{name}'")
+    return name
